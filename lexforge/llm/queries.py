@@ -1,9 +1,10 @@
 """Queries of the corpus operators, by name, and the SQL of those that SQL can express."""
 
-from lexforge.llm import exact_dedup, mixing, toxicity
+from lexforge.llm import exact_dedup, mixing, packing, toxicity
 
 QUERIES = {
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
+    "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_toxicity": toxicity.op6_toxicity,
     "op10_mix": mixing.op10_mix,
 }
