@@ -1,12 +1,14 @@
 """Queries of the corpus operators, by name, and the SQL of those that SQL can express."""
 
-from lexforge.llm import exact_dedup, mixing, ngram_join, packing, toxicity
+from lexforge.llm import exact_dedup, line_dedup, mixing, ngram_join, packing, toxicity, url_filter
 
 QUERIES = {
+    "op1_url_filter": url_filter.op1_url_filter,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
     "op2_ngram_jaccard_join": ngram_join.op2_ngram_jaccard_join,
     "op3_exact_dedup": exact_dedup.op3_exact_dedup,
     "op4_best_fit_packing": packing.op4_best_fit_packing,
     "op6_toxicity": toxicity.op6_toxicity,
     "op10_mix": mixing.op10_mix,
 }
-ORACLES = {"op2_ngram_jaccard_join": ngram_join.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op10_mix": mixing.ORACLE}
+ORACLES = {"op9_line_dedup": line_dedup.ORACLE, "op2_ngram_jaccard_join": ngram_join.ORACLE, "op3_exact_dedup": exact_dedup.ORACLE, "op10_mix": mixing.ORACLE}
