@@ -35,6 +35,10 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 CLOSES = {"p": BLOCKS - {"body", "html"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "tbody", "tfoot"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"}, "option": {"option"}}
 #: Elements beyond which an optional end tag is not looked for.
 HOLDS = {"p": {"button", "td", "th", "table"}, "li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
+#: By tag, the kinds of open elements that it ends.
+ENDS = {tag: [kind for kind, enders in CLOSES.items() if tag in enders] for tag in {t for enders in CLOSES.values() for t in enders}}
+#: Elements that can hold an article; paragraphs, headings and inline elements cannot.
+HOLDERS = frozenset("article main section div body td center table tbody tr blockquote html fieldset".split())
 #: Words of class, id and role that mark what is not the article.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsbygoogle banner banners sponsor sponsored sponsors promo promos promotion sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs header masthead footer foot footnav cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist disqus respond replies reply pagination pager toolbar widget widgets copyright complementary contentinfo search".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -67,6 +71,7 @@ class Lines(HTMLParser):
         self.stack: list[Element] = []
         self.count = self.tags = self.linked = self.links = 0
         self.parts: list[str] = []
+        self.names = [""]  # tag by element number
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -77,14 +82,13 @@ class Lines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_block()
-        for kind, enders in CLOSES.items():
-            if tag in enders:
-                for i in range(len(self.stack) - 1, -1, -1):
-                    if self.stack[i].tag == kind:
-                        self.pop_to(i)
-                        break
-                    if self.stack[i].tag in HOLDS[kind]:
-                        break
+        for kind in ENDS.get(tag, ()):
+            for i in range(len(self.stack) - 1, -1, -1):
+                if self.stack[i].tag == kind:
+                    self.pop_to(i)
+                    break
+                if self.stack[i].tag in HOLDS[kind]:
+                    break
         self.tags += 1
         if tag in VOID:
             if tag in ("br", "hr"):
@@ -94,6 +98,7 @@ class Lines(HTMLParser):
             for e in self.stack:
                 e.skip = e.skip and e.tag not in ("form", "header")
         self.count += 1
+        self.names.append(tag)
         skip = tag in SKIPPED or (tag not in ("html", "body", "article", "main") and marked(attrs))
         if skip and tag not in BLOCKS and not any(e.skip for e in self.stack):
             self.hidden(tag)
@@ -143,7 +148,8 @@ def marked(attrs: list[tuple[str, str | None]]) -> bool:
     return False
 
 
-def blocks_of(html: str) -> list[Block]:
+def blocks_of(html: str) -> tuple[list[Block], list[str]]:
+    """The blocks of a page, and the tags of the elements in their paths."""
     parser = Lines()
     for end in (False, True):
         while True:
@@ -153,7 +159,7 @@ def blocks_of(html: str) -> list[Block]:
             except (AssertionError, ValueError, IndexError):  # broken declarations
                 html, parser.rawdata = "", parser.rawdata[1:]
     parser.end_block()
-    return parser.blocks
+    return parser.blocks, parser.names
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -181,28 +187,30 @@ def threshold(values: np.ndarray) -> float:
 
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by empty lines."""
-    blocks = blocks_of(html) if html else []
+    blocks, names = blocks_of(html) if html else ([], [])
     if not blocks:
         return ""
     chars = np.array([len(b.text) - b.linked for b in blocks], float).clip(0)
     wave = smoothed(chars / np.array([max(b.tags, 1) for b in blocks]))
     region = np.flatnonzero(wave >= threshold(wave))
-    mass = {}
+    mass: dict[int, float] = {}
     for i in region:
         for k in blocks[i].path:
             mass[k] = mass.get(k, 0.0) + chars[i]
     total = chars[region].sum()
-    holder = None
-    for k in blocks[int(region[np.argmax(chars[region])])].path:  # from the root downwards
-        if mass.get(k, 0.0) >= 0.8 * total:
-            holder = k
-    deep = [b for b in blocks if holder in b.path]
-    top = min((len(b.path) for b in deep), default=0)
-    outer = {b.path[:2] for b in blocks}
-    if holder is None or (holder in {p[-1] for p in outer if p} and len(deep) == len(blocks) and top <= 2):
-        first, last = int(region[0]), int(region[-1])
-        deep = [b for i, b in enumerate(blocks) if (first <= i <= last and b.linked <= 0.5 * len(b.text))]
-    return "\n\n".join(b.text for b in deep)
+    heaviest = blocks[int(region[np.argmax(chars[region])])]
+    path = [k for k in heaviest.path if names[k] in HOLDERS and mass[k] >= 0.8 * total]  # from the root downwards
+    inside = lambda k: [b for b in blocks if k in b.path]
+    articles = [k for k in path if names[k] in ("article", "main")]
+    holder = articles[-1] if articles else None
+    while holder is None and path and names[path[-1]] not in ("html", "body"):
+        if len(inside(path[-1])) > 1 or len(path) < 2 or names[path[-2]] in ("html", "body"):
+            holder = path[-1]
+        path.pop()
+    if holder is not None:
+        return "\n\n".join(b.text for b in inside(holder))
+    first, last = int(region[0]), int(region[-1])
+    return "\n\n".join(b.text for b in blocks[first : last + 1] if b.linked <= 0.5 * len(b.text))
 
 
 def extracted(pages: DataFrame, key: str = "page_id") -> DataFrame:

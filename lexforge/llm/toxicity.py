@@ -1,12 +1,13 @@
 """Toxicity by a classifier chain.
 
-Categories are predicted one after the other by linear (logistic) models over the words of a text; each later model also
+Categories are predicted one after the other by linear (logistic) models over the words of a text and their beginnings
+(the first four and five letters, so that forms of a word never seen in training count as well); each later model also
 sees the probabilities of the earlier categories. In training those are out-of-fold predictions, so a later model learns
 from probabilities as wrong as they will be on new rows. The default chain is quality, then toxic (the two categories that
 `labels` holds); any list of 0/1 label columns may be given.
 
 Models are fitted on a bounded sample of labelled rows (`max_train_rows`, lowest hashes of doc_id first) and at most
-`n_features` words a category; every row of the corpus is scored, over its whole text.
+`n_features` features a category; every row of the corpus is scored, over its whole text.
 
 Defined results: a null or empty text has no words, so it gets the models' base rates; with no labelled rows at all (or
 one class only) a category's probability is its smoothed base rate (0 without rows); repeated rows and ties are scored
@@ -21,6 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,19 +31,32 @@ from lexforge.llm.common import documents, drop, store
 
 WORDS = re.compile(r"[^\W\d_]+")
 CHAIN = ("quality", "toxic")
+#: Toxic rows are a tenth of the labelled ones, so probabilities of clean texts stay far below this.
+THRESHOLD = 0.25
 _SEEN = "__lf_words"
 
 
-def words_of(text: str | None) -> set[str]:
-    return set(WORDS.findall(text.lower())) if text else set()
+#: Kinds of features: whole words (0) and beginnings of so many letters.
+BEGINNINGS = (0, 4, 5)
+
+
+def features_of(text: str | None) -> tuple[set[str], ...]:
+    """The distinct features of each kind; beginnings only of longer words."""
+    words = set(WORDS.findall(text.lower())) if text else set()
+    return tuple(words if not n else {w[:n] for w in words if len(w) > n} for n in BEGINNINGS)
+
+
+def hashes_of(text: str | None) -> np.ndarray:
+    h = [xxhash.xxh3_64_intdigest(f, kind) for kind, found in enumerate(features_of(text)) for f in found]
+    return np.unique(np.array(h, np.uint64))
 
 
 @dataclass
 class Link:
-    """One linear model of the chain: word weights, weights of the earlier categories' probabilities, bias."""
+    """One linear model of the chain: feature weights by kind, weights of the earlier categories' probabilities, bias."""
 
     category: str
-    words: dict[str, float] = field(default_factory=dict)
+    weights: list[dict[str, float]] = field(default_factory=lambda: [{} for _ in BEGINNINGS])
     earlier: list[float] = field(default_factory=list)
     bias: float = 0.0
 
@@ -52,15 +67,14 @@ class Chain:
 
     def scores(self, text: str | None) -> list[float]:
         """The probability of each category, in the chain's order."""
-        seen, out = words_of(text), []
+        seen, out = features_of(text), []
         for link in self.links:
-            known = link.words
-            z = link.bias + sum(known[w] for w in seen if w in known) + sum(a * p for a, p in zip(link.earlier, out))
+            z = link.bias + sum(known[f] for known, found in zip(link.weights, seen) for f in known.keys() & found) + sum(a * p for a, p in zip(link.earlier, out))
             out.append(1.0 / (1.0 + float(np.exp(-min(max(z, -30.0), 30.0)))))
         return out
 
 
-def _logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int, rounds: int = 150, l2: float = 1.0) -> np.ndarray:
+def _logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int, rounds: int = 120, l2: float = 0.2) -> np.ndarray:
     """Weights [n words, dense columns, bias] by full-batch gradient steps with per-coordinate scaling."""
     at = np.concatenate([np.full(len(r), i) for i, r in enumerate(rows)]) if rows else np.zeros(0, int)
     on = np.concatenate(rows).astype(int) if rows else np.zeros(0, int)
@@ -79,13 +93,28 @@ def _logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int,
     return w
 
 
-def _fit_link(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, vocab: list[str], n_features: int, category: str) -> Link:
-    """Choose the words that tell the classes apart best (z-score of the log odds), then fit on them."""
+@dataclass
+class _Fitted:
+    """A model over places in the vocabulary of the sample."""
+
+    best: np.ndarray
+    weights: np.ndarray
+    earlier: np.ndarray
+    bias: float
+
+    def predict(self, rows: list[np.ndarray], dense: np.ndarray, n: int) -> np.ndarray:
+        w = np.zeros(n)
+        w[self.best] = self.weights
+        z = np.array([w[r].sum() for r in rows]) + dense @ self.earlier + self.bias
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _fit_link(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int, n_features: int) -> _Fitted:
+    """Choose the features that tell the classes apart best (z-score of the log odds), then fit on them."""
     if len(y) == 0 or y.min() == y.max():
         base = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 1e-9
-        return Link(category, {}, [0.0] * dense.shape[1], float(np.log(base / (1 - base))))
-    n = len(vocab)
-    flat = np.concatenate(rows) if rows else np.zeros(0, int)
+        return _Fitted(np.zeros(0, int), np.zeros(0), np.zeros(dense.shape[1]), float(np.log(base / (1 - base))))
+    flat = np.concatenate(rows)
     hit = np.repeat(y, [len(r) for r in rows])
     one, all_ = np.bincount(flat, weights=hit, minlength=n) + 0.5, np.bincount(flat, minlength=n) + 1.0
     zero = all_ - one
@@ -94,42 +123,47 @@ def _fit_link(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, vocab: l
     best = np.sort(np.argsort(-z, kind="stable")[:n_features])
     place = np.full(n, -1)
     place[best] = np.arange(len(best))
-    cut = [place[r][place[r] >= 0] for r in rows]
-    w = _logistic(cut, dense, y, len(best))
+    w = _logistic([place[r][place[r] >= 0] for r in rows], dense, y, len(best))
     k = len(best)
-    return Link(category, {vocab[i]: float(x) for i, x in zip(best, w[:k])}, [float(x) for x in w[k:-1]], float(w[-1]))
-
-
-def fit_rows(texts: list[str | None], labels: dict[str, np.ndarray], chain: tuple[str, ...] = CHAIN, n_features: int = 1000, folds: int = 5, min_rows: int = 5) -> Chain:
-    """Fit the chain on rows held in memory (the bounded sample)."""
-    seen = [words_of(t) for t in texts]
-    count: dict[str, int] = {}
-    for s in seen:
-        for w in s:
-            count[w] = count.get(w, 0) + 1
-    vocab = sorted(w for w, c in count.items() if c >= min_rows)
-    where = {w: i for i, w in enumerate(vocab)}
-    del count
-    rows = [np.array(sorted(where[w] for w in s if w in where), dtype=np.int64) for s in seen]
-    m, links, out_of_fold = len(texts), [], np.zeros((len(texts), 0))
+    return _Fitted(best, w[:k], w[k:-1], float(w[-1]))
+
+
+def fit_rows(texts: list[str | None], labels: dict[str, np.ndarray], chain: tuple[str, ...] = CHAIN, n_features: int = 1200, folds: int = 3, min_rows: int = 4) -> Chain:
+    """Fit the chain on rows held in memory (the bounded sample). Features are held as hashes; those chosen are named in the end."""
+    hashed = [hashes_of(t) for t in texts]
+    vocab, count = np.unique(np.concatenate([*hashed, np.zeros(0, np.uint64)]), return_counts=True)
+    vocab = vocab[count >= min_rows]
+    rows = []
+    for h in hashed:
+        at = np.minimum(np.searchsorted(vocab, h), max(len(vocab) - 1, 0))
+        rows.append(at[vocab[at] == h] if len(vocab) else at[:0])
+    del hashed, count
+    m, n, models, earlier = len(texts), len(vocab), [], np.zeros((len(texts), 0))
     fold = np.arange(m) % folds
     for c in chain:
         y = np.asarray(labels[c], dtype=float)
-        links.append(_fit_link(rows, out_of_fold, y, vocab, n_features, c))
+        models.append(_fit_link(rows, earlier, y, n, n_features))
         p = np.zeros(m)
         if c != chain[-1]:
             for k in range(folds):
                 inn, out = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-                part = _fit_link([rows[i] for i in inn], out_of_fold[inn], y[inn], vocab, n_features, c)
-                known = {where[w]: x for w, x in part.words.items()}
-                for i in out:
-                    z = part.bias + sum(known.get(j, 0.0) for j in rows[i].tolist()) + float(out_of_fold[i] @ np.array(part.earlier))
-                    p[i] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        out_of_fold = np.column_stack([out_of_fold, p])
+                if len(out):
+                    part = _fit_link([rows[i] for i in inn], earlier[inn], y[inn], n, n_features)
+                    p[out] = part.predict([rows[i] for i in out], earlier[out], n)
+        earlier = np.column_stack([earlier, p])
+    links = [Link(c, earlier=model.earlier.tolist(), bias=model.bias) for c, model in zip(chain, models)]
+    weight = [dict(zip(vocab[model.best].tolist(), model.weights.tolist())) for model in models]
+    for text in texts:
+        for kind, found in enumerate(features_of(text)):
+            for f in found:
+                h = xxhash.xxh3_64_intdigest(f, kind)
+                for link, w in zip(links, weight):
+                    if h in w:
+                        link.weights[kind][f] = w[h]
     return Chain(links)
 
 
-def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_train_rows: int = 8000, n_features: int = 1000) -> Chain:
+def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_train_rows: int = 10000, n_features: int = 1200) -> Chain:
     """Fit on at most max_train_rows labelled rows of docs; the ids with the lowest hashes are taken, so reruns agree."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.expr(" AND ".join(f"`{c}` IN (0, 1)" for c in chain))).select("doc_id", *chain)
     ids, path = store(ids.orderBy(F.xxhash64("doc_id"), *ids.columns).limit(max_train_rows), "toxicity-ids")
@@ -156,7 +190,7 @@ def with_probabilities(spark: SparkSession, model: Chain) -> "Column":
     return probabilities
 
 
-def scores(docs: DataFrame, model: Chain, threshold: float = 0.5) -> DataFrame:
+def scores(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the chain's probabilities, the last category as a flag, kept (its contrary)."""
     p = with_probabilities(docs.sparkSession, model)
     names = [link.category for link in model.links]
@@ -166,7 +200,7 @@ def scores(docs: DataFrame, model: Chain, threshold: float = 0.5) -> DataFrame:
     return out.select("doc_id", *cols, last.alias(names[-1]), (~last).alias("kept"))
 
 
-def filter_toxic(docs: DataFrame, model: Chain, threshold: float = 0.5) -> DataFrame:
+def filter_toxic(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, with their columns, that the chain's last category does not reject."""
     p = with_probabilities(docs.sparkSession, model)
     k = len(model.links) - 1
