@@ -29,6 +29,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": ROCKS,
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "128",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",  # else each store reserves megabytes for its logs
 }
 
 
