@@ -1,0 +1 @@
+"""A Spark-native engine for building, analysing and packaging bilingual lexicons."""
