@@ -136,7 +136,7 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with their columns."""
     found, _ = store(classes(docs), "dedup-out")
-    gone = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.count_if("NOT kept").alias("lost"))
+    gone = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.count_if(~F.col("kept")).alias("lost"))
     gone, _ = store(gone.where("NOT any OR lost > 0"), "dedup-gone")
     out = without(docs, gone.where("NOT any"))
     if not gone.where("any").isEmpty():  # ids that stay and go at once: repeated rows
