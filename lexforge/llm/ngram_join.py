@@ -31,6 +31,7 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexforge.llm.common import documents, drop, small, store, without
 from lexforge.llm.components import components
@@ -38,7 +39,7 @@ from lexforge.llm.packing import by_bytes
 
 WORDS = 5
 #: Sets that one unit compares; larger groups are split.
-UNIT = 512
+UNIT = 1024
 #: A token is common when it is in this share of the documents of some chunk, and of all documents in the end.
 COMMON_IN_CHUNK, COMMON = 0.004, 0.002
 CHUNK_HASHES = 2_000_000
@@ -68,12 +69,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 def shingle_sets(text: pa.Array, n: int = WORDS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(text.cast(pa.large_string()), "")))
+    lists = pc.ascii_split_whitespace(pc.fill_null(text.cast(pa.large_string()), ""))
     flat, offsets = lists.flatten(), np.asarray(lists.offsets, np.int64)
     real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
     bounds = np.concatenate([[0], np.cumsum(real)])[offsets - offsets[0]]
     coded = pc.dictionary_encode(flat.filter(pa.array(real)))
-    known = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
+    known = np.fromiter((xxhash.xxh3_64_intdigest(w.lower()) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
     h = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else np.zeros(0, np.uint64)
     factors = np.resize(ODD, n) + np.arange(n, dtype=np.uint64) * np.uint64(2)
     m = max(len(h) - n + 1, 0)
@@ -285,6 +286,18 @@ def once(members: DataFrame) -> DataFrame:
     return lists.where("many > 1").groupBy("many", "a", "b").agg(F.min("key").alias("key"), F.min("first").alias("first")).select("key", "many", "first")
 
 
+def without_sublists(members: DataFrame) -> DataFrame:
+    """members: key, node, label, place. Drops keys all of whose nodes hold one and the same other key just before it.
+
+    Such a key's list is part of that other key's list, so its pairs are compared there. The tokens of a passage that
+    several documents share mostly have such lists: each document's prefix ends somewhere else in the passage.
+    """
+    before = members.withColumn("before", F.lag("key").over(Window.partitionBy("node").orderBy("place")))
+    lists = before.groupBy("key").agg(F.min("before").alias("a"), F.max("before").alias("z"), F.count_if(F.col("before").isNull()).alias("first"))
+    kept = lists.where("first > 0 OR a <> z").select("key")
+    return members.join(kept, "key", "left_semi").select("key", "node", "label")
+
+
 def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Threshold(), unit: int = UNIT) -> DataFrame:
     """One row per row of docs: doc_id, row, n_shingles, component_id."""
     spark = docs.sparkSession
@@ -315,10 +328,11 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     ours = ours.select("node", F.coalesce("root", "node").alias("label"), "id", "s1", "s2")
     first = first.join(ours, first.doc_id.eqNullSafe(ours.id) & (first.sig1 == ours.s1) & (first.sig2 == ours.s2)).select("node", "label", "tokens").dropDuplicates(["node"])
     first, first_path = store(first, "ngram-prefixes")
-    members = first.select("node", "label", F.explode("tokens").alias("key"))
+    members = first.select("node", "label", F.posexplode("tokens").alias("place", "key"))
     open_, open_path = store(members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select("key"), "ngram-open")
     members, members_path = store(members.join(small(open_), "key"), "ngram-members")
     drop(first_path, open_path)
+    members, merged_path = store(without_sublists(members), "ngram-merged")
     groups, groups_path = store(once(members), "ngram-groups")
     blocks = F.ceil(F.col("many") / unit)
     placed = members.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
@@ -328,7 +342,7 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     if not more.isEmpty():
         drop(labels_path)
         labels, labels_path = components(edges.unionByName(more))
-    drop(groups_path, members_path, units_path, edges_path, more_path)
+    drop(groups_path, members_path, merged_path, units_path, edges_path, more_path)
 
     of = nodes.join(labels, "node", "left").select("sig1", "sig2", "least", F.coalesce("root", "node").alias("root"))
     ids = of.groupBy("root").agg(F.min("least").alias("component_id"))
