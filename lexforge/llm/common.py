@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -70,6 +72,13 @@ def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished queries now, not when the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(0.3)  # the cleaner works in a thread of its own
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A stored key table, marked for broadcast only if counting shows at most `rows` rows; else Spark's own choice (a shuffle) holds."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

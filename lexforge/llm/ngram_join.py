@@ -9,7 +9,7 @@
    Links found here are a spanning forest, never all pairs of a group.
 3. The same for every token of the sets' prefixes: in one fixed order of tokens, two sets of similarity t share one of
    their first n - ceil(t n) + 1 tokens. Tokens whose sets are all in one component are done; the others, once for each
-   different list of sets, go through trees again. This step is what makes the join exact: step 2 only shortens it.
+   different list of sets, go through trees again, by bitmaps alone; pairs these allow are decided on the whole sets. This step is what makes the join exact: step 2 only shortens it.
    Tokens found in many documents (counted over all of them) stand last in the order, so passages that many documents share
    hardly ever reach a prefix. A list longer than a unit is cut into blocks and every pair of blocks is a unit.
 
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexforge.llm.common import documents, drop, small, store, without
+from lexforge.llm.common import documents, drop, release, small, store, without
 from lexforge.llm.components import components
 from lexforge.llm.packing import by_bytes
 
@@ -104,6 +104,18 @@ def least_hashes(s: np.ndarray) -> np.ndarray:
     return np.unique(s[first])
 
 
+def width_of(n: int) -> int:
+    """Bits of the bitmap of a set of n tokens: two for each, a power of two. Sets that may link differ by a factor of two at most."""
+    return 1 << int(np.clip(np.ceil(np.log2(max(2 * n, 1))), 8, 20))
+
+
+def bitmap(s: np.ndarray, width: int = 0) -> bytes:
+    width = width or width_of(len(s))
+    bits = np.zeros(width, bool)
+    bits[(s & np.uint64(width - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(p) for p in parts])]), pa.int32()), pa.array(flat.view(np.int64)))
@@ -145,7 +157,7 @@ def described(docs: DataFrame, n: int) -> DataFrame:
 
 
 def prefixes(docs: DataFrame, common: np.ndarray, n: int, threshold: Threshold) -> DataFrame:
-    """doc_id, signature and prefix of each row; common tokens stand last in the order."""
+    """doc_id, signature, prefix, size and bitmap of each row; common tokens stand last in the order."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(np.sort(common))  # at most mean set size / COMMON tokens
 
@@ -162,10 +174,10 @@ def prefixes(docs: DataFrame, common: np.ndarray, n: int, threshold: Threshold)
                         often = last[at] == s
                         s = np.concatenate([s[~often], s[often]]) if often.any() else s
                     parts.append(s[:p])
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x for x, _ in sig], pa.int64()), pa.array([x for _, x in sig], pa.int64()), _lists(parts)], ["doc_id", "sig1", "sig2", "tokens"])
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x for x, _ in sig], pa.int64()), pa.array([x for _, x in sig], pa.int64()), _lists(parts), pa.array([len(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary())], ["doc_id", "sig1", "sig2", "tokens", "size", "bits"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, sig1 long, sig2 long, tokens array<long>")
+    return rows.mapInArrow(run, "doc_id long, sig1 long, sig2 long, tokens array<long>, size long, bits binary")
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
@@ -185,22 +197,20 @@ def sets_of(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
 
 
 class SignatureTree:
-    """Sets in leaves of LEAF, FAN children to an inner node; levels[0] are the leaves."""
+    """Sets, given by size and bitmap, in leaves of LEAF, FAN children to an inner node; levels[0] are the leaves.
+
+    All bitmaps have one width, a power of two; a bit is set for each token modulo the width.
+    """
 
     LEAF, FAN = 8, 4
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), len(sets[i])))
-        self.sets = [sets[i] for i in self.order]
-        self.size = np.array([len(s) for s in self.sets], np.int64)
-        width = 1 << int(np.clip(np.ceil(np.log2(2 * self.size.max())), 8, 16))
-        bits = np.zeros((len(sets), width), bool)
-        for k, s in enumerate(self.sets):
-            bits[k, (s & np.uint64(width - 1)).astype(np.int64)] = True
-        self.bits = np.packbits(bits, axis=1).view(np.uint64)
+    def __init__(self, size: np.ndarray, bits: np.ndarray, near: list):
+        """near: a key that brings similar sets next to each other."""
+        self.order = sorted(range(len(size)), key=lambda i: (near[i], int(size[i])))
+        self.size, self.bits = size[self.order], bits[self.order]
         self.hidden = self.size - np.bitwise_count(self.bits).sum(1, dtype=np.int64)
         self.levels = []  # each: first set of every node, bitmaps, most hidden tokens, least and greatest size
-        at, step = np.arange(0, len(sets), self.LEAF), self.LEAF
+        at, step = np.arange(0, len(size), self.LEAF), self.LEAF
         bitmap, hidden, low, high = self.bits, self.hidden, self.size, self.size
         while True:
             cut = np.arange(0, len(bitmap), step)
@@ -212,15 +222,18 @@ class SignatureTree:
             step = self.FAN
             at = at[:: self.FAN]
 
-    def links(self, label: np.ndarray, threshold: Threshold) -> list[tuple[int, int]]:
-        """Links (positions in the given sets) that join different labels, until no pair of sets with different labels links."""
+    def links(self, label: np.ndarray, threshold: Threshold, check=None) -> list[tuple[int, int]]:
+        """Pairs (positions in the given sets) of different labels that may link.
+
+        With check(x, y), which decides exactly: those that do link, each joining two labels, until no others are left.
+        """
         label = label[self.order].copy()
         found = []
         stack = [(len(self.levels) - 1, 0, 0)]
         while stack:
             level, i, j = stack.pop()
             at, bitmap, hidden, low, high = self.levels[level]
-            end = lambda k: at[k + 1] if k + 1 < len(at) else len(self.sets)  # noqa: E731, B023
+            end = lambda k: at[k + 1] if k + 1 < len(at) else len(self.size)  # noqa: E731, B023
             xs, ys = slice(at[i], end(i)), slice(at[j], end(j))
             first = label[xs.start]
             if (label[xs] == first).all() and (label[ys] == first).all():
@@ -243,13 +256,60 @@ class SignatureTree:
                 x, y = int(x) + xs.start, int(y) + ys.start
                 if label[x] == label[y] or (i == j and x >= y):
                     continue
-                overlap = len(np.intersect1d(self.sets[x], self.sets[y], assume_unique=True))
-                if threshold.linked(overlap, self.size[x], self.size[y]):
+                if check is None:
+                    found.append((self.order[x], self.order[y]))
+                elif check(self.order[x], self.order[y]):
                     found.append((self.order[x], self.order[y]))
                     label[label == label[y]] = label[x]
         return found
 
 
+def exact_links(sets: list[np.ndarray], label: np.ndarray, threshold: Threshold) -> list[tuple[int, int]]:
+    """Links between the given sets that connect all that link."""
+    size = np.array([len(s) for s in sets], np.int64)
+    width = min(width_of(int(size.max())), 1 << 16)
+    bits = np.stack([np.frombuffer(bitmap(s, width), np.uint64) for s in sets])
+    check = lambda x, y: threshold.linked(len(np.intersect1d(sets[x], sets[y], assume_unique=True)), size[x], size[y])
+    return SignatureTree(size, bits, [int(s[0]) for s in sets]).links(label, threshold, check)
+
+
+def possible_links(sizes: list[int], bitmaps: list[bytes], label: np.ndarray, threshold: Threshold) -> set[tuple[int, int]]:
+    """Pairs of different labels that their bitmaps allow to link. Each width is joined with itself and, folded, the next one."""
+    size, width, out = np.array(sizes, np.int64), np.array([8 * len(b) for b in bitmaps]), set()
+    for w in np.unique(width):
+        some = np.flatnonzero((width == w) | (width == 2 * w))
+        if len(set(label[some].tolist())) > 1:
+            rows = [np.frombuffer(bitmaps[i], np.uint64) for i in some]
+            half = int(w) // 64
+            bits = np.stack([r if len(r) == half else r[:half] | r[half:] for r in rows])
+            pairs = SignatureTree(size[some], bits, [int(b[0]) for b in bits]).links(label[some], threshold)
+            out |= {(int(some[x]), int(some[y])) for x, y in pairs}
+    return out
+
+
+def unit_candidates(units: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
+    """units: unit, node, label, size, bits. u < v: pairs of different labels that may link, from the trees of each unit."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held = None, []
+
+        def solve() -> pa.RecordBatch:
+            nodes, labels, sizes, bits = zip(*held) if held else ((),) * 4
+            found = possible_links(list(sizes), list(bits), np.array(labels, np.int64), threshold) if len(set(labels)) > 1 else set()
+            pairs = [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y])) for x, y in found]
+            return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.int64())], ["u", "v"])
+
+        for batch in batches:
+            for u, *row in zip(*(batch.column(c).to_pylist() for c in ("unit", "node", "label", "size", "bits"))):
+                if u != unit:
+                    yield solve()
+                    unit, held = u, []
+                held.append(row)
+        yield solve()
+
+    return units.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(run, "u long, v long").distinct()
+
+
 def unit_links(units: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
     """units: unit, node, label, tokens. u, v: the links found in each unit between nodes of different labels."""
 
@@ -257,7 +317,7 @@ def unit_links(units: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
         def solve(nodes: list[int], labels: list[int], sets: list[np.ndarray]) -> list[tuple[int, int]]:
             if len(set(labels)) < 2:
                 return []
-            return [(nodes[x], nodes[y]) for x, y in SignatureTree(sets).links(np.array(labels, np.int64), threshold)]
+            return [(nodes[x], nodes[y]) for x, y in exact_links(sets, np.array(labels, np.int64), threshold)]
 
         unit, nodes, labels, sets, out = None, [], [], [], []
         for batch in batches:
@@ -318,6 +378,8 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     edges, edges_path = _edges(docs, nodes, units, n, threshold, parts)
     labels, labels_path = components(edges)
     drop(groups_path, units_path)
+    del members, placed, leaders, units
+    release(spark)
 
     # Step 3: every prefix token whose sets are not in one component yet.
     total = rows.count()
@@ -326,23 +388,32 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     first = prefixes(docs, common, n, threshold)
     ours = nodes.select("node", F.col("doc_id").alias("id"), F.col("sig1").alias("s1"), F.col("sig2").alias("s2")).join(labels, "node", "left")
     ours = ours.select("node", F.coalesce("root", "node").alias("label"), "id", "s1", "s2")
-    first = first.join(ours, first.doc_id.eqNullSafe(ours.id) & (first.sig1 == ours.s1) & (first.sig2 == ours.s2)).select("node", "label", "tokens").dropDuplicates(["node"])
+    first = first.join(ours, first.doc_id.eqNullSafe(ours.id) & (first.sig1 == ours.s1) & (first.sig2 == ours.s2)).select("node", "label", "tokens", "size", "bits").dropDuplicates(["node"])
     first, first_path = store(first, "ngram-prefixes")
     members = first.select("node", "label", F.posexplode("tokens").alias("place", "key"))
     open_, open_path = store(members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select("key"), "ngram-open")
     members, members_path = store(members.join(small(open_), "key"), "ngram-members")
-    drop(first_path, open_path)
+    drop(open_path)
+    del open_
+    release(spark)
     members, merged_path = store(without_sublists(members), "ngram-merged")
     groups, groups_path = store(once(members), "ngram-groups")
     blocks = F.ceil(F.col("many") / unit)
     placed = members.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     units = placed.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "node", "label").distinct()
-    units, units_path = store(units, "ngram-units")
+    units = units.join(first.select("node", "size", "bits"), "node")
+    pairs, pairs_path = store(unit_candidates(units, threshold, parts), "ngram-pairs")
+    release(spark)
+    # What the bitmaps allow is decided on the sets: each pair is a unit.
+    pairs = pairs.withColumn("unit", F.xxhash64("u", "v"))
+    units = pairs.select("unit", F.explode(F.array("u", "v")).alias("node")).withColumn("label", F.col("node"))
     more, more_path = _edges(docs, nodes, units, n, threshold, parts)
     if not more.isEmpty():
         drop(labels_path)
         labels, labels_path = components(edges.unionByName(more))
-    drop(groups_path, members_path, merged_path, units_path, edges_path, more_path)
+    del placed, members, groups
+    release(spark)
+    drop(groups_path, members_path, merged_path, first_path, pairs_path, edges_path, more_path)
 
     of = nodes.join(labels, "node", "left").select("sig1", "sig2", "least", F.coalesce("root", "node").alias("root"))
     ids = of.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -353,9 +424,9 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
 
 def _edges(docs: DataFrame, nodes: DataFrame, units: DataFrame, n: int, threshold: Threshold, parts: int) -> tuple[DataFrame, str]:
     wanted, wanted_path = store(nodes.join(units.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "sig1", "sig2"), "ngram-wanted")
-    sets, sets_path = store(sets_of(docs, small(wanted), n), "ngram-sets")
-    found, path = store(unit_links(units.join(sets, "node"), threshold, parts), "ngram-links")
-    drop(wanted_path, sets_path)
+    # The sets are dealt by node once, for their own deduplication and for the join with the units.
+    found, path = store(unit_links(units.join(sets_of(docs, small(wanted), n), "node"), threshold, parts), "ngram-links")
+    drop(wanted_path)
     return found, path
 
 

@@ -93,12 +93,14 @@ def test_signature_tree_finds_all_components():
     sets = [np.unique(np.concatenate([b[rng.random(len(b)) < 0.93], rng.integers(0, 2**63, 8).astype(np.uint64)])) for b in base for _ in range(5)]
     t = ngram_join.Threshold()
     label = np.arange(len(sets))
-    for x, y in ngram_join.SignatureTree(sets).links(label.copy(), t):
+    for x, y in ngram_join.exact_links(sets, label.copy(), t):
         label[label == label[y]] = label[x]
+    may = ngram_join.possible_links([len(s) for s in sets], [ngram_join.bitmap(s) for s in sets], np.arange(len(sets)), t)
     for i in range(len(sets)):
         for j in range(i):
             if t.linked(len(np.intersect1d(sets[i], sets[j])), len(sets[i]), len(sets[j])):
                 assert label[i] == label[j]
+                assert {(i, j), (j, i)} & may
 
 
 def test_packing_round_trip(docs, none):
