@@ -43,6 +43,8 @@ UNIT = 1024
 #: A token is common when it is in this share of the documents of some chunk, and of all documents in the end.
 COMMON_IN_CHUNK, COMMON = 0.004, 0.002
 CHUNK_HASHES = 2_000_000
+#: Keys before its own that a prefix group's member brings along, so that a pair is given once where its prefixes run alike.
+EARLY = 8
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -222,8 +224,8 @@ class SignatureTree:
             step = self.FAN
             at = at[:: self.FAN]
 
-    def links(self, label: np.ndarray, threshold: Threshold, check=None) -> list[tuple[int, int]]:
-        """Pairs (positions in the given sets) of different labels that may link.
+    def links(self, label: np.ndarray, threshold: Threshold, check=None, wanted=None) -> list[tuple[int, int]]:
+        """Pairs (positions in the given sets) of different labels that may link and, if given, for which wanted(x, y).
 
         With check(x, y), which decides exactly: those that do link, each joining two labels, until no others are left.
         """
@@ -256,6 +258,8 @@ class SignatureTree:
                 x, y = int(x) + xs.start, int(y) + ys.start
                 if label[x] == label[y] or (i == j and x >= y):
                     continue
+                if wanted and not wanted(self.order[x], self.order[y]):
+                    continue
                 if check is None:
                     found.append((self.order[x], self.order[y]))
                 elif check(self.order[x], self.order[y]):
@@ -273,8 +277,8 @@ def exact_links(sets: list[np.ndarray], label: np.ndarray, threshold: Threshold)
     return SignatureTree(size, bits, [int(s[0]) for s in sets]).links(label, threshold, check)
 
 
-def possible_links(sizes: list[int], bitmaps: list[bytes], label: np.ndarray, threshold: Threshold) -> set[tuple[int, int]]:
-    """Pairs of different labels that their bitmaps allow to link. Each width is joined with itself and, folded, the next one."""
+def possible_links(sizes: list[int], bitmaps: list[bytes], label: np.ndarray, threshold: Threshold, wanted=None) -> set[tuple[int, int]]:
+    """Pairs of different labels, wanted if that is given, that their bitmaps allow to link. Each width is joined with itself and, folded, the next one."""
     size, width, out = np.array(sizes, np.int64), np.array([8 * len(b) for b in bitmaps]), set()
     for w in np.unique(width):
         some = np.flatnonzero((width == w) | (width == 2 * w))
@@ -282,25 +286,33 @@ def possible_links(sizes: list[int], bitmaps: list[bytes], label: np.ndarray, th
             rows = [np.frombuffer(bitmaps[i], np.uint64) for i in some]
             half = int(w) // 64
             bits = np.stack([r if len(r) == half else r[:half] | r[half:] for r in rows])
-            pairs = SignatureTree(size[some], bits, [int(b[0]) for b in bits]).links(label[some], threshold)
+            exact = width[some] == w  # two sets of the doubled width meet unfolded, in their own round
+            here = lambda x, y, some=some, exact=exact: (exact[x] or exact[y]) and (wanted is None or wanted(some[x], some[y]))
+            pairs = SignatureTree(size[some], bits, [int(b[0]) for b in bits]).links(label[some], threshold, wanted=here)
             out |= {(int(some[x]), int(some[y])) for x, y in pairs}
     return out
 
 
 def unit_candidates(units: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
-    """units: unit, node, label, size, bits. u < v: pairs of different labels that may link, from the trees of each unit."""
+    """units: unit, block, lone, early, node, label, size, bits. u < v: pairs of different labels that may link, from the trees of each unit.
+
+    A pair is given where it meets first, not in every unit that holds it: not between two nodes of one block in a unit
+    of two blocks (not `lone`), and not where both nodes hold a common key among their `early` ones, those just before.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, held = None, []
 
         def solve() -> pa.RecordBatch:
-            nodes, labels, sizes, bits = zip(*held) if held else ((),) * 4
-            found = possible_links(list(sizes), list(bits), np.array(labels, np.int64), threshold) if len(set(labels)) > 1 else set()
+            nodes, labels, sizes, bits, blocks, lone, early = zip(*held) if held else ((),) * 7
+            early = [frozenset(e) for e in early]
+            first = lambda x, y: (lone[x] or blocks[x] != blocks[y]) and early[x].isdisjoint(early[y])
+            found = possible_links(list(sizes), list(bits), np.array(labels, np.int64), threshold, first) if len(set(labels)) > 1 else set()
             pairs = [(min(nodes[x], nodes[y]), max(nodes[x], nodes[y])) for x, y in found]
             return pa.RecordBatch.from_arrays([pa.array([x for x, _ in pairs], pa.int64()), pa.array([x for _, x in pairs], pa.int64())], ["u", "v"])
 
         for batch in batches:
-            for u, *row in zip(*(batch.column(c).to_pylist() for c in ("unit", "node", "label", "size", "bits"))):
+            for u, *row in zip(*(batch.column(c).to_pylist() for c in ("unit", "node", "label", "size", "bits", "block", "lone", "early"))):
                 if u != unit:
                     yield solve()
                     unit, held = u, []
@@ -355,7 +367,7 @@ def without_sublists(members: DataFrame) -> DataFrame:
     before = members.withColumn("before", F.lag("key").over(Window.partitionBy("node").orderBy("place")))
     lists = before.groupBy("key").agg(F.min("before").alias("a"), F.max("before").alias("z"), F.count_if(F.col("before").isNull()).alias("first"))
     kept = lists.where("first > 0 OR a <> z").select("key")
-    return members.join(kept, "key", "left_semi").select("key", "node", "label")
+    return members.join(kept, "key", "left_semi").select("key", "node", "label", "place")
 
 
 def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Threshold(), unit: int = UNIT) -> DataFrame:
@@ -399,8 +411,9 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     members, merged_path = store(without_sublists(members), "ngram-merged")
     groups, groups_path = store(once(members), "ngram-groups")
     blocks = F.ceil(F.col("many") / unit)
-    placed = members.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    units = placed.select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("unit"), "node", "label").distinct()
+    early = F.collect_list("key").over(Window.partitionBy("node").orderBy("place").rowsBetween(-EARLY, -1))
+    placed = members.join(groups, "key").withColumn("early", early).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    units = placed.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "block", (F.col("block") == F.col("other")).alias("lone"), "early", "node", "label")
     units = units.join(first.select("node", "size", "bits"), "node")
     pairs, pairs_path = store(unit_candidates(units, threshold, parts), "ngram-pairs")
     release(spark)
