@@ -402,18 +402,22 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     ours = ours.select("node", F.coalesce("root", "node").alias("label"), "id", "s1", "s2")
     first = first.join(ours, first.doc_id.eqNullSafe(ours.id) & (first.sig1 == ours.s1) & (first.sig2 == ours.s2)).select("node", "label", "tokens", "size", "bits").dropDuplicates(["node"])
     first, first_path = store(first, "ngram-prefixes")
+    release(spark)
     members = first.select("node", "label", F.posexplode("tokens").alias("place", "key"))
     open_, open_path = store(members.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("z")).where("a <> z").select("key"), "ngram-open")
+    release(spark)
     members, members_path = store(members.join(small(open_), "key"), "ngram-members")
     drop(open_path)
     del open_
     release(spark)
     members, merged_path = store(without_sublists(members), "ngram-merged")
+    release(spark)
     groups, groups_path = store(once(members), "ngram-groups")
     blocks = F.ceil(F.col("many") / unit)
     early = F.collect_list("key").over(Window.partitionBy("node").orderBy("place").rowsBetween(-EARLY, -1))
     placed = members.join(groups, "key").withColumn("early", early).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     units = placed.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "block", (F.col("block") == F.col("other")).alias("lone"), "early", "node", "label")
+    release(spark)
     units = units.join(first.select("node", "size", "bits"), "node")
     pairs, pairs_path = store(unit_candidates(units, threshold, parts), "ngram-pairs")
     release(spark)
