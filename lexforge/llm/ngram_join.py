@@ -398,9 +398,10 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Thre
     common = found.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= max(16, COMMON * total)).select("token")
     common = np.array([r.token for r in common.toLocalIterator()], np.int64).view(np.uint64)
     first = prefixes(docs, common, n, threshold)
-    ours = nodes.select("node", F.col("doc_id").alias("id"), F.col("sig1").alias("s1"), F.col("sig2").alias("s2")).join(labels, "node", "left")
-    ours = ours.select("node", F.coalesce("root", "node").alias("label"), "id", "s1", "s2")
-    first = first.join(ours, first.doc_id.eqNullSafe(ours.id) & (first.sig1 == ours.s1) & (first.sig2 == ours.s2)).select("node", "label", "tokens", "size", "bits").dropDuplicates(["node"])
+    ours = nodes.select("node", F.xxhash64("doc_id").alias("hashed"), "sig1", "sig2").join(labels, "node", "left")
+    ours = ours.select("node", F.coalesce("root", "node").alias("label"), "hashed", "sig1", "sig2")
+    # Keys of the join and of the deduplication are the same, for one exchange; ids are hashed as they may be null.
+    first = first.withColumn("hashed", F.xxhash64("doc_id")).drop("doc_id").join(ours, ["hashed", "sig1", "sig2"]).dropDuplicates(["hashed", "sig1", "sig2"]).select("node", "label", "tokens", "size", "bits")
     first, first_path = store(first, "ngram-prefixes")
     release(spark)
     members = first.select("node", "label", F.posexplode("tokens").alias("place", "key"))
