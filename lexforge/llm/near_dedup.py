@@ -6,8 +6,9 @@
 2. NN-descent over the pivots: neighbour lists start from cells of further hyperplanes; each round joins the neighbours of
    every node with each other (and with its reverse neighbours) and keeps the best of each list. Lists whose last entry is
    still within the threshold are saturated: they double, and further rounds run until none is left.
-3. An audit compares a fixed number of vectors with all vectors, in blocks, and counts the links found; below the target
-   recall further cells and rounds are added.
+3. An audit compares a fixed number of vectors, and of balls' pivots, with all vectors, in blocks. Recall is the mean share
+   of each vector's links that was found, and counts once more for links outside the vector's own ball, so dense groups
+   cannot hide lost pairs. Below the target the number of cells doubles and a further round runs.
 4. Threshold edges between balls: whole balls that must link count by their sizes, balls that cannot link are dropped,
    and only members near the border between two balls are compared, exactly, in double precision.
 
@@ -37,6 +38,8 @@ AUDIT = 256
 RECALL = 0.98
 #: Angles within this distance of a bound are compared exactly.
 EDGE = 1e-6
+#: The audit leaves out pairs this close to the threshold, where sums in another order may differ.
+ROUND = 1e-12
 PAIR = "u long, v long, cos double"
 
 
@@ -210,11 +213,12 @@ def near_links(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
         if found >= target:
             break
         drop(*parts)
-        extra = start_lists(balls, bits(left), list(range(more, more + trees)), size)
-        more += trees
-        step, path = store(keep_best(lists.unionByName(extra), sizes, size), "near-lists")
-        drop(lists_path)
-        lists, lists_path = step, path
+        for at in range(more, 2 * more, trees):
+            extra = start_lists(balls, bits(left), list(range(at, at + trees)), size)
+            step, path = store(keep_best(lists.unionByName(extra), sizes, size), "near-lists")
+            drop(lists_path)
+            lists, lists_path = step, path
+        more *= 2
     else:
         edges = lists.where(F.col("cos") >= reach)
         result, parts = _count_links(rows, nodes, member, balls, edges, limit, cosine)
@@ -222,7 +226,7 @@ def near_links(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
 
 
 def _count_links(rows: DataFrame, nodes: DataFrame, member: DataFrame, balls: DataFrame, edges: DataFrame, limit: float, cosine: float) -> tuple[DataFrame, list[str]]:
-    """Exact counts over the candidate pairs of balls; id, x, n_links, component_id."""
+    """Exact counts over the candidate pairs of balls; id, x, n_links, component_id, own (links within the ball), lead (is a pivot)."""
     both = edges.select("u", "v", "cos").union(edges.select("v", "u", "cos")).dropDuplicates(["u", "v"])
     p, q = (balls.select(F.col("node").alias(k), F.col("radius").alias(f"r_{k}"), F.col("weight").alias(f"w_{k}")) for k in "uv")
     pairs = both.join(p, "u").join(q, "v").withColumn("far", F.acos(F.least(F.col("cos"), F.lit(1.0))))
@@ -248,36 +252,48 @@ def _count_links(rows: DataFrame, nodes: DataFrame, member: DataFrame, balls: Da
     labels, labels_path = components(pairs.where("whole").select("u", "v").unionByName(partial.select("u", "v")))
     of = balls.select("node", "weight", "least").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of.groupBy("root").agg(F.min("least").alias("component"))
-    of = of.join(least, "root").join(base.withColumnRenamed("u", "node"), "node", "left").select(F.col("node").alias("pivot"), "component", (F.col("weight") - 1 + F.coalesce("base", F.lit(0))).alias("sure"))
+    of = of.join(least, "root").join(base.withColumnRenamed("u", "node"), "node", "left").select(F.col("node").alias("pivot"), "component", (F.col("weight") - 1).alias("own"), (F.col("weight") - 1 + F.coalesce("base", F.lit(0))).alias("sure"))
     of = nodes.join(member, "node").join(of, "pivot").join(own.withColumnRenamed("a", "node"), "node", "left")
-    of = of.select(F.col("h").alias("oh"), F.col("x").alias("ox"), "component", (F.col("sure") + F.coalesce("extra", F.lit(0))).alias("links"))
+    of = of.select(F.col("h").alias("oh"), F.col("x").alias("ox"), "component", "own", F.when(F.col("node") == F.col("pivot"), F.col("node")).alias("lead"), (F.col("sure") + F.coalesce("extra", F.lit(0))).alias("links"))
     out = rows.join(of, (rows.h == of.oh) & (rows.x == of.ox), "left")
-    out = out.select("id", "x", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
+    out = out.select("id", "x", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"), "own", F.col("id").eqNullSafe(F.col("lead")).alias("lead"))
     done, path = store(out, "near-result")
     drop(pairs_path, partial_path, labels_path)
     return done, [path]
 
 
 def audit(rows: DataFrame, result: DataFrame, cosine: float, queries: int = AUDIT) -> float:
-    """Recall: links found for a fixed number of vectors (lowest hashes) against all their links, counted in blocks."""
-    asked = result.where("x IS NOT NULL").orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "x", "n_links").collect()
+    """Recall: the links found for a fixed number of vectors (lowest hashes) against all their links, counted in blocks.
+
+    The least of three means over vectors: of all links, of links outside the own ball, and of the latter for vectors that
+    are drawn as pivots, one a ball, so a ball counts once whatever its size.
+    """
+    draw = lambda of: of.orderBy(F.xxhash64("id"), "id").limit(queries).select("id", "x", "n_links", "own").collect()
+    known = result.where("x IS NOT NULL")
+    some, leads = draw(known), draw(known.where("lead"))
+    asked = some + leads
     if not asked:
         return 1.0
-    shared = rows.sparkSession.sparkContext.broadcast([(r.id, np.array(r.x)) for r in asked])
+    shared = rows.sparkSession.sparkContext.broadcast([np.array(r.x) for r in asked])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(len(shared.value), np.int64)
         for frame in frames:
             x = frame["x"]
             for dim, part in x.groupby(x.map(len)) if len(x) else []:
-                at = [i for i, (_, q) in enumerate(shared.value) if len(q) == dim]
+                at = [i for i, q in enumerate(shared.value) if len(q) == dim]
                 if at:
-                    counts[at] += (np.stack([shared.value[i][1] for i in at]) @ _matrix(part).T >= cosine).sum(1)
+                    counts[at] += (np.stack([shared.value[i] for i in at]) @ _matrix(part).T >= cosine + ROUND).sum(1)
         yield pd.DataFrame({"i": np.arange(len(counts)), "n": counts})
 
-    true = rows.where("x IS NOT NULL").select("x").mapInPandas(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
-    links = sum(r.n for r in true) - len(asked)
-    return sum(r.n_links for r in asked) / links if links > 0 else 1.0
+    sums = rows.where("x IS NOT NULL").select("x").mapInPandas(run, "i long, n long").groupBy("i").agg(F.sum("n").alias("n")).collect()
+    true = {r.i: r.n - 1 for r in sums}
+
+    def mean(of: range, outside: bool) -> float:
+        pairs = [(asked[i].n_links - outside * asked[i].own, true[i] - outside * asked[i].own) for i in of]
+        return float(np.mean([min(1.0, found / links) for found, links in pairs if links > 0] or [1.0]))
+
+    return min(mean(range(len(some)), False), mean(range(len(some)), True), mean(range(len(some), len(asked)), True))
 
 
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lexforge.llm import chat_format, exact_dedup, html_text, line_dedup, mixing, near_dedup, ngram_join, packing, tokens, toxicity, url_filter
 
@@ -245,6 +246,19 @@ def test_near_dedup(spark):
     assert near_dedup.near_links(empty).count() == 0
 
 
+def test_near_audit_counts_vectors(spark):
+    """A hot group's links, all found, do not hide that every other pair was missed."""
+    rng = np.random.default_rng(6)
+    pairs = np.repeat(rng.standard_normal((40, 32)), 2, axis=0)
+    x = np.concatenate([np.repeat(rng.standard_normal((1, 32)), 400, axis=0), pairs + 0.05 * rng.standard_normal(pairs.shape)])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    rows = [(i, v.tolist(), 399 if i < 400 else 0, i, 399 if i < 400 else 0, i == 0 or i >= 400) for i, v in enumerate(x)]
+    result = spark.createDataFrame(rows, "id long, x array<double>, n_links long, component_id long, own long, lead boolean")
+    assert near_dedup.audit(result.select("id", "x"), result, 0.9) < 0.1
+    found = result.withColumn("n_links", F.when(F.col("id") < 400, 399).otherwise(1).cast("long"))
+    assert near_dedup.audit(result.select("id", "x"), found, 0.9) == 1.0
+
+
 def test_url_filter(spark):
     urls = ["http://a.NET/x", "https://www.example.net/en/1?a=1", "http://example.com/de/2", "http://x.org/fr/", "http://net/", "http://net", "http://b.example.com/en/9", "nothing", None, "http://xexample.net/en/1", ""]
     got = {r.page_id: r for r in url_filter.judged(spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")).collect()}
