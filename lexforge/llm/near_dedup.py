@@ -5,10 +5,12 @@
    its pairs are never enumerated. Rounds with other hyperplanes gather pivots again; a cell over `UNIT` is split.
 2. NN-descent over the pivots: neighbour lists start from cells of further hyperplanes; each round joins the neighbours of
    every node with each other (and with its reverse neighbours) and keeps the best of each list. Lists whose last entry is
-   still within the threshold are saturated: they double, and further rounds run until none is left.
+   still within the threshold are saturated: they double, up to `WIDEST`. Pivots saturated beyond that leave the lists:
+   their balls' members are compared with all vectors, in blocks, which give counts and the links that join balls.
 3. An audit compares a fixed number of vectors, and of balls' pivots, with all vectors, in blocks. Recall is the mean share
    of each vector's links that was found, and counts once more for links outside the vector's own ball, so dense groups
-   cannot hide lost pairs. Below the target the number of cells doubles and a further round runs.
+   cannot hide lost pairs. Below the target the number of cells doubles and a further round runs; with
+   `MOST_TREES` and the target not reached, the query fails.
 4. Threshold edges between balls: whole balls that must link count by their sizes, balls that cannot link are dropped,
    and only members near the border between two balls are compared, exactly, in double precision.
 
@@ -28,12 +30,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexforge.llm.common import drop, store
+from lexforge.llm.common import drop, new_path, store
 from lexforge.llm.components import components
 
 COSINE = 0.9
 UNIT = 1024
 LIST = 8
+#: Lists that are full at this length give way to the exact comparison.
+WIDEST = 128
+MOST_TREES = 512
+#: Vectors compared with all others in one scan of them.
+BLOCK = 4096
 AUDIT = 256
 RECALL = 0.98
 #: Angles within this distance of a bound are compared exactly.
@@ -191,41 +198,93 @@ def near_links(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
     # 2. Neighbour lists, 3. audit.
     reach = math.cos(min(limit + 2 * most + EDGE, math.pi))  # pivots of balls that could hold linked members
     lists, lists_path = store(keep_best(start_lists(balls, bits(left), list(range(trees)), size), None, size), "near-lists")
-    sizes, more = None, trees
-    for turn in range(12):
-        wide = size * 2 ** max(0, turn - rounds + 1) if sizes is not None else size
-        step, path = store(keep_best(descend(lists, balls, wide), sizes, size), "near-lists")
-        drop(lists_path)
-        lists, lists_path = step, path
-        if turn + 1 < rounds:
-            continue
+    sizes, more, wide = None, trees, size
+    while True:
+        for _ in range(rounds):
+            step, path = store(keep_best(descend(lists, balls, wide), sizes, size), "near-lists")
+            drop(lists_path)
+            lists, lists_path = step, path
         worst = lists.groupBy("u").agg(F.min("cos").alias("worst"), F.count("*").alias("held"))
         bound = F.lit(size) if sizes is None else F.coalesce("size", F.lit(size))
         worst = worst if sizes is None else worst.join(sizes, "u", "left")
         full_lists, _ = store(worst.where((F.col("worst") >= reach) & (F.col("held") >= bound)).select("u", (2 * bound).alias("size")), "near-saturated")
-        if not full_lists.isEmpty():
-            kept = full_lists if sizes is None else full_lists.unionByName(sizes.join(full_lists.select("u"), "u", "left_anti"))
+        grow = full_lists.where(F.col("size") <= WIDEST)
+        if not grow.isEmpty():
+            kept = grow if sizes is None else grow.unionByName(sizes.join(grow.select("u"), "u", "left_anti"))
             sizes, _ = store(kept, "near-sizes")
+            wide = sizes.agg(F.max("size")).first()[0]
             continue
         edges = lists.where(F.col("cos") >= reach)
-        result, parts = _count_links(rows, nodes, member, balls, edges, limit, cosine)
+        exact = None
+        if not full_lists.isEmpty():
+            heavy = full_lists.select("u")
+            edges = edges.join(heavy, "u", "left_anti").join(heavy.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v", "cos")
+            exact = exact_links(nodes, member, heavy.withColumnRenamed("u", "pivot"), cosine)
+        result, parts = _count_links(rows, nodes, member, balls, edges, limit, cosine, exact)
         found = audit(rows, result, cosine)
         if found >= target:
             break
         drop(*parts)
-        for at in range(more, 2 * more, trees):
-            extra = start_lists(balls, bits(left), list(range(at, at + trees)), size)
+        if more >= MOST_TREES:
+            raise RuntimeError(f"recall {found:.4f} of {target} with {more} trees")
+        for at in range(more, 2 * more, 8):
+            extra = start_lists(balls, bits(left), list(range(at, min(at + 8, 2 * more))), size)
             step, path = store(keep_best(lists.unionByName(extra), sizes, size), "near-lists")
             drop(lists_path)
             lists, lists_path = step, path
         more *= 2
-    else:
-        edges = lists.where(F.col("cos") >= reach)
-        result, parts = _count_links(rows, nodes, member, balls, edges, limit, cosine)
     return result.select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _count_links(rows: DataFrame, nodes: DataFrame, member: DataFrame, balls: DataFrame, edges: DataFrame, limit: float, cosine: float) -> tuple[DataFrame, list[str]]:
+def exact_links(nodes: DataFrame, member: DataFrame, heavy: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """The links of all members of the balls in heavy (pivot), by comparison with every vector.
+
+    counts: node, n (copies linked: of any vector for members, itself included; of members for other vectors); joins: u, v,
+    pivots of balls with a link, enough to connect all that are linked; heavy; the stored paths. Pairs are never written: a
+    task gives a row per vector, and per block a forest of its links.
+    """
+    spark = nodes.sparkSession
+    full = nodes.join(member, "node").join(heavy.withColumn("heavy", F.lit(True)), "pivot", "left")
+    full, full_path = store(full.select("node", "pivot", "x", "copies", F.coalesce("heavy", F.lit(False)).alias("heavy")), "near-full")
+    blocks = math.ceil(full.where("heavy").count() / BLOCK)
+    path = new_path(spark, "near-exact")
+    for i in range(blocks):
+        block = full.where("heavy").where(F.pmod(F.xxhash64("node"), F.lit(blocks)) == i).drop("heavy").collect()
+        shared = spark.sparkContext.broadcast([(r.node, r.pivot, np.array(r.x), r.copies) for r in block])
+
+        def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            rows = shared.value
+            node, pivot, copies = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 3))
+            total, group, counts, joins = np.zeros(len(rows), np.int64), np.arange(len(rows)), [], set()
+            by_dim = {dim: np.array([k for k, r in enumerate(rows) if len(r[2]) == dim]) for dim in {len(r[2]) for r in rows}}
+            for frame in frames:
+                for at in range(0, len(frame), 512):
+                    part = frame.iloc[at : at + 512]
+                    for dim, some in part.groupby(part["x"].map(len)):
+                        own = by_dim.get(dim)
+                        if own is None:
+                            continue
+                        link = _matrix(some["x"]) @ np.stack([rows[k][2] for k in own]).T >= cosine
+                        total[own] += some["copies"].to_numpy() @ link
+                        other = ~some["heavy"].to_numpy() & link.any(1)
+                        counts += zip(some["node"].to_numpy()[other], (link[other] @ copies[own]))
+                        for p, hit in zip(some["pivot"].to_numpy(), link):
+                            if hit.any():
+                                labels = np.unique(group[own[hit]])
+                                group[np.isin(group, labels)] = labels[0]
+                                joins |= {(int(p), int(pivot[k])) for k in labels}
+            seen = total > 0
+            counts += zip(node[seen], total[seen])
+            yield pd.DataFrame([(n, k, -1, -1) for n, k in counts] + [(-1, 0, u, v) for u, v in joins], columns=["node", "n", "u", "v"], dtype="int64")
+
+        full.mapInPandas(run, "node long, n long, u long, v long").write.mode("append").parquet(path)
+        shared.unpersist()
+    drop(full_path)
+    found = spark.read.schema("node long, n long, u long, v long").parquet(path)
+    return found.where("u = -1").groupBy("node").agg(F.sum("n").alias("n")), found.where("u <> -1 AND u <> v").select("u", "v").distinct(), heavy, [path]
+
+
+def _count_links(rows: DataFrame, nodes: DataFrame, member: DataFrame, balls: DataFrame, edges: DataFrame, limit: float, cosine: float, exact: tuple | None = None) -> tuple[DataFrame, list[str]]:
     """Exact counts over the candidate pairs of balls; id, x, n_links, component_id, own (links within the ball), lead (is a pivot)."""
     both = edges.select("u", "v", "cos").union(edges.select("v", "u", "cos")).dropDuplicates(["u", "v"])
     p, q = (balls.select(F.col("node").alias(k), F.col("radius").alias(f"r_{k}"), F.col("weight").alias(f"w_{k}")) for k in "uv")
@@ -249,16 +308,21 @@ def _count_links(rows: DataFrame, nodes: DataFrame, member: DataFrame, balls: Da
     partial, partial_path = store(sure.unionByName(close).groupBy("u", "v", "a").agg(F.sum("n").alias("n")), "near-border")
     own = partial.groupBy("a").agg(F.sum("n").alias("extra"))
 
-    labels, labels_path = components(pairs.where("whole").select("u", "v").unionByName(partial.select("u", "v")))
+    links = pairs.where("whole").select("u", "v").unionByName(partial.select("u", "v"))
+    labels, labels_path = components(links if exact is None else links.unionByName(exact[1]))
     of = balls.select("node", "weight", "least").join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = of.groupBy("root").agg(F.min("least").alias("component"))
     of = of.join(least, "root").join(base.withColumnRenamed("u", "node"), "node", "left").select(F.col("node").alias("pivot"), "component", (F.col("weight") - 1).alias("own"), (F.col("weight") - 1 + F.coalesce("base", F.lit(0))).alias("sure"))
     of = nodes.join(member, "node").join(of, "pivot").join(own.withColumnRenamed("a", "node"), "node", "left")
-    of = of.select(F.col("h").alias("oh"), F.col("x").alias("ox"), "component", "own", F.when(F.col("node") == F.col("pivot"), F.col("node")).alias("lead"), (F.col("sure") + F.coalesce("extra", F.lit(0))).alias("links"))
+    links = F.col("sure") + F.coalesce("extra", F.lit(0))
+    if exact is not None:
+        of = of.join(exact[0], "node", "left").join(exact[2].withColumn("heavy", F.lit(True)), "pivot", "left")
+        links = F.when(F.col("heavy"), F.col("n") - 1).otherwise(links + F.coalesce("n", F.lit(0)))
+    of = of.select(F.col("h").alias("oh"), F.col("x").alias("ox"), "component", "own", F.when(F.col("node") == F.col("pivot"), F.col("node")).alias("lead"), links.alias("links"))
     out = rows.join(of, (rows.h == of.oh) & (rows.x == of.ox), "left")
     out = out.select("id", "x", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"), "own", F.col("id").eqNullSafe(F.col("lead")).alias("lead"))
     done, path = store(out, "near-result")
-    drop(pairs_path, partial_path, labels_path)
+    drop(pairs_path, partial_path, labels_path, *([] if exact is None else exact[3]))
     return done, [path]
 
 

@@ -259,6 +259,35 @@ def test_near_audit_counts_vectors(spark):
     assert near_dedup.audit(result.select("id", "x"), found, 0.9) == 1.0
 
 
+@pytest.fixture(scope="module")
+def diffuse(spark):
+    """One wide group, too far apart for balls, with copies, beside ordinary pairs."""
+    rng = np.random.default_rng(8)
+    wide = rng.standard_normal(24) * 1.5 + rng.standard_normal((300, 24)) * 0.45
+    pairs = np.repeat(rng.standard_normal((20, 24)), 2, axis=0)
+    x = np.concatenate([wide, wide[:30], pairs + 0.1 * rng.standard_normal(pairs.shape)])
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), u @ u.T >= 0.9
+
+
+def test_near_dedup_saturated_lists_are_compared_exactly(diffuse, monkeypatch):
+    monkeypatch.setattr(near_dedup, "WIDEST", 16)
+    monkeypatch.setattr(near_dedup, "BLOCK", 128)
+    df, link = diffuse
+    got = {r.vec_id: r for r in near_dedup.near_links(df, size=4).collect()}
+    assert link.sum(1).max() > 100 and [got[i].n_links for i in range(len(link))] == (link.sum(1) - 1).tolist()
+    label = np.arange(len(link))
+    for i, j in zip(*np.nonzero(link)):
+        label[label == label[j]] = label[i]
+    assert all(got[i].component_id == np.flatnonzero(label == label[i])[0] for i in range(len(link)))
+
+
+def test_near_dedup_fails_below_the_target(diffuse, monkeypatch):
+    monkeypatch.setattr(near_dedup, "MOST_TREES", 4)
+    with pytest.raises(RuntimeError):
+        near_dedup.near_links(diffuse[0].limit(40), target=1.1)
+
+
 def test_url_filter(spark):
     urls = ["http://a.NET/x", "https://www.example.net/en/1?a=1", "http://example.com/de/2", "http://x.org/fr/", "http://net/", "http://net", "http://b.example.com/en/9", "nothing", None, "http://xexample.net/en/1", ""]
     got = {r.page_id: r for r in url_filter.judged(spark.createDataFrame([(i, u, "h") for i, u in enumerate(urls)], "page_id long, url string, host string")).collect()}
