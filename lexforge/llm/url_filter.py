@@ -2,8 +2,8 @@
 
 Features: lengths of url, host, path and query, path depth, digit ratio, character entropy, number of parameters, dots and
 hyphens of the host, and suffix statistics: the smoothed share of blocked urls under the host's last label and last two
-labels. Labelled urls are those that a rule decides. At most `max_train_rows` of them (lowest hashes) fit the model and the
-statistics; every url is judged.
+labels, counted over all labelled rows. Labelled urls are those that a rule decides. At most `max_train_rows` distinct ones
+(lowest hashes of each class) fit the model; every url is judged.
 
 Defined results: a null url, or one without `://`, has empty host and path and no rule, and the model judges it by its
 features (lengths 0); without labelled urls of both classes the method's verdict is the only class seen, `allow` if none;
@@ -18,7 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import store
+from lexforge.llm.common import small, store
 
 #: The rules of the query (fixed values): rule and verdict.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -72,21 +72,25 @@ def lexical(urls: DataFrame, url: str = "url") -> DataFrame:
 
 
 def with_statistics(rows: DataFrame, label: DataFrame, domain: DataFrame) -> DataFrame:
-    """Adds f_label and f_domain; both tables have one row per suffix of the bounded training rows."""
-    out = rows.join(F.broadcast(label), "label", "left").join(F.broadcast(domain), "domain", "left")
+    """Adds f_label and f_domain; both tables have one row per suffix of all labelled rows, and are broadcast only if small."""
+    out = rows.join(small(label), "label", "left").join(small(domain), "domain", "left")
     return out.withColumn("f_label", F.coalesce("f_label", F.lit(0.5))).withColumn("f_domain", F.coalesce("f_domain", "f_label"))
 
 
 def train(rows: DataFrame, max_train_rows: int, trees: int, depth: int) -> tuple[GBTClassificationModel | None, DataFrame, DataFrame, str]:
     """rows: lexical() with `blocked` (null: not labelled). The model, the suffix statistics, the only class seen."""
     known = rows.where("blocked IS NOT NULL")
-    keep = [c for c in ("label", "domain", "blocked", *FEATURES) if c in rows.columns]
-    sample, _ = store(known.orderBy(F.xxhash64("host", "path"), "host", "path", *keep).select(*keep).limit(max_train_rows), "url-train")
-    share = lambda key, name: store(sample.groupBy(key).agg(((F.sum("blocked") + 1) / (F.count("*") + 2)).alias(name)), "url-suffix")[0]
+    share = lambda key, name: store(known.groupBy(key).agg(((F.sum("blocked") + 1) / (F.count("*") + 2)).alias(name)), "url-suffix")[0]
     label, domain = share("label", "f_label"), share("domain", "f_domain")
-    seen = sample.agg(F.min("blocked").alias("a"), F.max("blocked").alias("z")).first()
-    if seen.a is None or seen.a == seen.z:
-        return None, label, domain, "block" if seen.a else "allow"
+    keep = [c for c in ("url", "label", "domain", "blocked", *FEATURES) if c in rows.columns]
+    distinct, _ = store(known.select(*keep).dropDuplicates(["url"]), "url-distinct")
+    many = {r.blocked: r["count"] for r in distinct.groupBy("blocked").count().collect()}
+    if len(many) < 2:
+        return None, label, domain, "block" if many.get(1) else "allow"
+    rare = min(many, key=many.get)  # in proportion, but a rare class has at least a tenth, if it has so many urls
+    few = min(many[rare], max(max_train_rows // 10, max_train_rows * many[rare] // sum(many.values()), 1))
+    lowest = lambda kind, n: distinct.where(F.col("blocked") == kind).orderBy(F.xxhash64("url"), "url").limit(n)
+    sample, _ = store(lowest(rare, few).unionByName(lowest(1 - rare, max_train_rows - few)), "url-train")
     fitted = with_statistics(sample, label, domain).coalesce(1)
     data = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(fitted).select("features", F.col("blocked").cast("double").alias("label"))
     model = GBTClassifier(maxIter=trees, maxDepth=depth, seed=17, maxBins=32).fit(data)

@@ -296,6 +296,19 @@ def test_url_filter(spark):
     assert all(r.verdict in ("allow", "block") for r in got.values()) and got[1].verdict == "allow" and got[2].verdict == "block"
 
 
+def test_url_filter_with_a_hot_url(spark):
+    """A hot page with many query strings, repeated rows and a wide spread of domains: both classes fit, all count."""
+    urls = [f"http://hot.net/p?q={i % 150}" for i in range(3000)] + [f"http://d{i}.org/fr/{i}" for i in range(300)] + ["http://hot.net/p"] * 50 + ["http://d7.org/other"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    for top in (10, 40):
+        got = url_filter.judged(pages, max_train_rows=top).collect()
+        assert all((r.block_prob is None) == (r.rule is not None) for r in got) and sum(r.block_prob is not None for r in got) == 1
+    rows = url_filter.lexical(pages).withColumn("blocked", F.when(F.col("host") == "hot.net", 1).when(F.col("path").startswith("/fr"), 0))
+    label, domain = url_filter.train(rows, 10, 2, 2)[1:3]
+    assert {r.label: round(r.f_label, 6) for r in label.collect()} == {"net": round(3051 / 3052, 6), "org": round(1 / 302, 6)}
+    assert domain.count() == 301
+
+
 def test_chat(spark):
     call = '<tool_call>{"name": "search", "id": "c1", "arguments": {"query": "q", "limit": 2}}</tool_call>'
     bad = '<tool_call>{"name": "search", "id": "c2", "arguments": {"limit": "two"}}</tool_call><tool_call>{oops</tool_call>'
