@@ -4,13 +4,15 @@ The standard library's parser gives events; text is gathered in blocks, the line
 its tags and its place in the tree. The text-to-tag ratios of the lines are smoothed with a Gaussian and parted into two
 clusters by a threshold; the lines of the upper cluster are content regions. The regions choose the element that holds the
 article: the smallest one with (nearly) all of their text. Of that element every block counts, however short, except what
-stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments.
+stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments. A wrapper that
+is such by its class, id or role, or a form, is kept if it holds the main region: where the text beside all wrappers is less
+than a fourth of the region within.
 
 Where no element below the body holds the regions, the blocks from the first region to the last are taken, without those
 that are mostly links.
 
 Defined results: null and empty html, and pages without text, give an empty text; markup errors never fail (what cannot
-be parsed is skipped character by character); repeated rows are extracted row by row; extra columns are ignored, whatever
+be parsed loses its first character and counts as text); repeated rows are extracted row by row; extra columns are ignored, whatever
 their names; an empty table gives no rows.
 """
 
@@ -41,6 +43,8 @@ ENDS = {tag: [kind for kind, enders in CLOSES.items() if tag in enders] for tag
 HOLDERS = frozenset("article main section div body td center table tbody tr blockquote html fieldset".split())
 #: Words of class, id and role that mark what is not the article.
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsbygoogle banner banners sponsor sponsored sponsors promo promos promotion sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs header masthead footer foot footnav cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist disqus respond replies reply pagination pager toolbar widget widgets copyright complementary contentinfo search".split())
+#: Of these, the words of reader comments: such a wrapper holds the main region only where no other text is left.
+COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.5
 
@@ -51,6 +55,7 @@ class Block:
     linked: int
     tags: int
     path: tuple[int, ...]
+    wrappers: tuple[int, ...] = ()  # open elements that are skipped for their marks only, or forms
 
 
 @dataclass
@@ -58,6 +63,7 @@ class Element:
     tag: str
     number: int
     skip: bool
+    soft: bool = False
 
 
 @dataclass
@@ -71,12 +77,13 @@ class Lines(HTMLParser):
         self.stack: list[Element] = []
         self.count = self.tags = self.linked = self.links = 0
         self.parts: list[str] = []
+        self.comments: set[int] = set()
         self.names = [""]  # tag by element number
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
-        if text and not any(e.skip for e in self.stack):
-            self.blocks.append(Block(text, self.linked, self.tags, tuple(e.number for e in self.stack)))
+        if text and not any(e.skip and not e.soft for e in self.stack):
+            self.blocks.append(Block(text, self.linked, self.tags, tuple(e.number for e in self.stack), tuple(e.number for e in self.stack if e.skip)))
         self.parts, self.tags, self.linked = [], 0, 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -99,11 +106,14 @@ class Lines(HTMLParser):
                 e.skip = e.skip and e.tag not in ("form", "header")
         self.count += 1
         self.names.append(tag)
-        skip = tag in SKIPPED or (tag not in ("html", "body", "article", "main") and marked(attrs))
+        words = set() if tag in ("html", "body", "article", "main") else marks(attrs)
+        skip = tag in SKIPPED or bool(words)
+        if words & COMMENTS:
+            self.comments.add(self.count)
         if skip and tag not in BLOCKS and not any(e.skip for e in self.stack):
             self.hidden(tag)
         else:
-            self.stack.append(Element(tag, self.count, skip))
+            self.stack.append(Element(tag, self.count, skip, skip and "" not in words and (tag == "form" or tag not in SKIPPED)))
         self.links += tag == "a"
 
     def hidden(self, tag: str) -> None:
@@ -139,27 +149,55 @@ class Lines(HTMLParser):
             self.linked += len(data.strip())
 
 
-def marked(attrs: list[tuple[str, str | None]]) -> bool:
+def marks(attrs: list[tuple[str, str | None]]) -> set[str]:
+    """The words that mark an element; "" for one that is not shown at all."""
+    found = set()
     for name, value in attrs:
-        if name in ("class", "id", "role") and value and any(w.lower() in MARKS for w in WORD.findall(value)):
-            return True
+        if name in ("class", "id", "role") and value:
+            found |= {w.lower() for w in WORD.findall(value)} & MARKS
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-    return False
+            found.add("")
+    return found
 
 
-def blocks_of(html: str) -> tuple[list[Block], list[str]]:
-    """The blocks of a page, and the tags of the elements in their paths."""
+def failed_at(error: BaseException) -> int:
+    """Where in its text the parser stood when it failed."""
+    at, trace = 0, error.__traceback__
+    while trace is not None:
+        if trace.tb_frame.f_code.co_name == "goahead":
+            at = trace.tb_frame.f_locals.get("i", 0)
+        trace = trace.tb_next
+    return at
+
+
+def parsed(html: str) -> Lines:
     parser = Lines()
     for end in (False, True):
         while True:
             try:
                 parser.close() if end else parser.feed(html)
                 break
-            except (AssertionError, ValueError, IndexError):  # broken declarations
-                html, parser.rawdata = "", parser.rawdata[1:]
+            except (AssertionError, ValueError, IndexError) as e:  # broken declarations
+                html, parser.rawdata = "", parser.rawdata[failed_at(e) + 1 :]
     parser.end_block()
-    return parser.blocks, parser.names
+    return parser
+
+
+def blocks_of(html: str) -> tuple[list[Block], list[str]]:
+    """The blocks of a page without those in wrappers that hold no main region, and the tags of the elements in their paths."""
+    parser = parsed(html)
+    plain = [b for b in parser.blocks if not b.wrappers]
+    size = lambda b: max(len(b.text) - b.linked, 0)
+    for some in ([b for b in parser.blocks if not parser.comments & set(b.wrappers)], parser.blocks if not plain else []):
+        if len(some) > len(plain):
+            inner: dict[tuple[int, ...], int] = {}
+            for b in some:
+                if b.wrappers:
+                    inner[b.wrappers] = inner.get(b.wrappers, 0) + size(b)
+            best = max(inner, key=inner.get)  # the first of equal ones
+            if inner[best] > 4 * sum(map(size, plain)):
+                return [b for b in some if set(b.wrappers) <= set(best)], parser.names
+    return plain, parser.names
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:

@@ -222,6 +222,21 @@ def test_html():
     assert html_text.main_text("<p>tea &#x26; milk <span class=promo>now</span> only") == "tea & milk only"
 
 
+def test_html_wrappers_with_the_article():
+    text = "\n\n".join(["Long paragraph of words."] * 6)
+    body = "".join(f"<p>{x}</p>" for x in text.split("\n\n"))
+    for wrapper in ("<div class='content-sidebar-wrap'>{}</div>", "<div class='has-sidebar'><div id=no-ads>{}</div></div>", "<form>{}</form>"):
+        side = "<div class=sidebar><p>Side</p></div>"
+        assert html_text.main_text(PAGE.format(wrapper.format(f"<article>{body}</article>{side}"))) == text
+        assert html_text.main_text(PAGE.format(wrapper.format(f"<div id=content>{body}</div>{side}"))) == text
+    assert html_text.main_text(PAGE.format(f"<div>{body}</div><div class=comments><article>{body * 9}</article></div>")) == text
+
+
+def test_html_goes_on_after_what_cannot_be_parsed():
+    got = [b.text for b in html_text.blocks_of("<p>first part</p><p>second<![bad <p>third</p>")[0]]
+    assert got == ["first part", "second![bad", "third"]
+
+
 def test_html_table(spark):
     rows = [(1, "http://a", PAGE.format("<article><p>x y</p></article>"), "t", 1), (2, None, None, "t", 2), (1, "http://a", "", "t", 3)]
     got = html_text.extracted(spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")).collect()
