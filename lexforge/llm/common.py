@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -64,19 +63,53 @@ def _drop_all() -> None:
 atexit.register(_drop_all)
 
 
-def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write df to the shared folder and read it again: cuts the lineage, and survives the loss of executors."""
+@contextmanager
+def configured(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold within the block; what was set before comes back."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def store(df: DataFrame, name: str, codec: str = "snappy") -> tuple[DataFrame, str]:
+    """Write df to the shared folder and read it again: cuts the lineage, and survives the loss of executors.
+
+    The shuffle files of the query that made it go as soon as it ends: nothing reads them again.
+    """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    with configured(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished queries now, not when the driver happens to collect its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    time.sleep(0.3)  # the cleaner works in a thread of its own
+#: Columns that located() adds.
+FILE, AT = "__lf_file", "__lf_at"
+
+
+def located(docs: DataFrame) -> DataFrame:
+    """docs with each row's place, (FILE, AT): a hash of its file's path and its number there, however tasks split the files.
+
+    Only scans of Parquet files have such places; any other table is stored first. So rows are told apart whatever they hold.
+    """
+    plan = docs._jdf.queryExecution().analyzed()
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    if plan.nodeName() != "LogicalRelation":
+        docs, _ = store(docs, "rows")
+    meta = docs.metadataColumn("_metadata")
+    return docs.withColumns({FILE: F.xxhash64(meta["file_path"]), AT: meta["row_index"]})
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of docs (located) whose place is not in dropped (a stored table with FILE and AT), without the places."""
+    out = docs.join(small(dropped.select(FILE, AT)), [FILE, AT], "left_anti")
+    return out.drop(FILE, AT)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -84,11 +117,6 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def without(docs: DataFrame, dropped: DataFrame, key: str = "doc_id") -> DataFrame:
-    """The rows of docs whose key is not in dropped (a stored table with the column `key`)."""
-    return docs.join(small(dropped.select(key).distinct()), key, "left_anti").select(*docs.columns)
-
-
 def pieces(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """Slices of the batches, so that few whole texts exist as Python objects at once."""
     for batch in batches:

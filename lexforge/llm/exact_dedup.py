@@ -1,28 +1,34 @@
 """Exact deduplication by a stateful stream.
 
-Every row becomes a fingerprint (digest of the text without ASCII white space, length, row number, content locator). The
+Every row becomes a fingerprint (digest of the text without ASCII white space, length, content locator: file and row). The
 fingerprints are streamed in micro-batches into keyed state that never expires and lives on disk (RocksDB): by digest it
-retains the stable identifier of the row that stays, its locator and the number of rows. Digests hit more than once have
-their full normalised bytes compared; should texts differ under one digest, they are grouped again by their bytes.
+retains the stable identifier of the row that stays, its locator and the number of rows. Rows of digests hit more than once
+are read again by their locators and their full normalised bytes compared; should texts differ under one digest, they are
+grouped again by their bytes.
 
-The state keeps one entry for a distinct text, whatever the size of its group; counts are combined before the shuffle.
+The state keeps one entry for a distinct text, whatever the size of its group; counts are combined before the shuffle. With
+a folder for the state (`state`) it outlives the run: later tables meet all rows that came before, of which one stays;
+bytes are compared within a run, and with earlier runs by their SHA-256 digests.
 
 Defined results: a null text counts as empty, so null, empty and blank texts are one group; ties go to the smallest doc_id
-(a null id comes first); repeated rows with one doc_id are one group of which one row stays; other columns are ignored,
-whatever their names; an empty table gives no rows.
+(a null id comes first), then to one row by its place; rows are told apart by their places, so of repeated rows with one
+doc_id exactly one stays, whatever other texts that id has; other columns are ignored, whatever their names; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import WHITE, documents, drop, new_path, small, store, texts, pieces, without
+from lexforge.llm.common import AT, FILE, WHITE, configured, documents, located, new_path, pieces, small, store, texts, without_rows
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SETTINGS = {
@@ -41,92 +47,87 @@ def normal(text: str) -> bytes:
     return text.encode().translate(None, WHITE)
 
 
+PRINTS = f"doc_id long, digest binary, sha string, n long, {FILE} long, {AT} long"
+STAYS = f"struct<less:long,doc_id:long,{FILE}:long,{AT}:long>"
+
+
 def fingerprints(docs: DataFrame, digest: Callable[[bytes], bytes] = sha256) -> DataFrame:
-    """doc_id, digest, code points of the original text, row number, locator (the file the row was read from)."""
+    """doc_id, digest, code points of the original text, locator (FILE, AT) of located docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
             norm = [normal(t) for t in texts(b.column("text"))]
             n = pc.fill_null(pc.utf8_length(b.column("text")), 0).cast(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array([digest(x) for x in norm], pa.binary()), pa.array([hashlib.sha256(x).hexdigest() for x in norm], pa.string()) if digest is not sha256 else pa.nulls(b.num_rows, pa.string()), n, b.column("row"), b.column("locator")],
-                ["doc_id", "digest", "sha", "n", "row", "locator"],
-            )
+            sha = pa.array([hashlib.sha256(x).hexdigest() for x in norm], pa.string()) if digest is not sha256 else pa.nulls(b.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([digest(x) for x in norm], pa.binary()), sha, n, b.column(FILE), b.column(AT)], [c.split()[0] for c in PRINTS.split(", ")])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), FILE, AT).mapInArrow(run, PRINTS)
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.monotonically_increasing_id().alias("row"), F.input_file_name().alias("locator"))
-    return rows.mapInArrow(run, "doc_id long, digest binary, sha string, n long, row long, locator string")
+
+def best_row() -> Column:
+    return F.min(F.struct((-F.col("n")).alias("less"), "doc_id", FILE, AT))
 
 
 def retain(stream: DataFrame) -> DataFrame:
     """The stateful step, for a stream (or table) of fingerprints: by digest, the row that stays and the rows seen."""
-    best = F.min(F.struct((-F.col("n")).alias("less"), "doc_id", "row", "locator"))
-    return stream.groupBy("digest").agg(best.alias("stays"), F.count("*").alias("seen"))
+    return stream.groupBy("digest").agg(best_row().alias("stays"), F.count("*").alias("seen"))
 
 
-def stream_state(spark: SparkSession, prints: str, schema, bytes_per_trigger: int = 1 << 30) -> tuple[DataFrame, list[str]]:
-    """Run the fingerprints in the folder `prints` through the state; the last word on each digest, and folders to drop."""
-    updates, checkpoint = new_path(spark, "dedup-updates"), new_path(spark, "dedup-state")
+def stream_state(spark: SparkSession, prints: str, updates: str, checkpoint: str, bytes_per_trigger: int = 1 << 30) -> DataFrame:
+    """Run what is new in the folder `prints` through the state in `checkpoint`; the last word on each digest (from `updates`)."""
 
     def sink(batch: DataFrame, number: int) -> None:
         batch.withColumn("number", F.lit(number)).write.mode("overwrite").parquet(f"{updates}/batch-{number}")
 
-    before = {k: spark.conf.get(k, None) for k in SETTINGS}
-    try:
-        for k, v in SETTINGS.items():
-            spark.conf.set(k, v)
-        source = spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_trigger).parquet(prints)
+    with configured(spark, SETTINGS):
+        source = spark.readStream.schema(PRINTS).option("maxBytesPerTrigger", bytes_per_trigger).option("recursiveFileLookup", "true").parquet(prints)
         query = retain(source).writeStream.outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
         query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-    drop(checkpoint)
-    shape = "digest binary, stays struct<less:long,doc_id:long,row:long,locator:string>, seen long, number int"
-    found = spark.read.schema(shape).option("recursiveFileLookup", "true").option("ignoreMissingFiles", "true")
+    shape = f"digest binary, stays {STAYS}, seen long, number int"
     try:
-        rows = found.parquet(updates)
+        rows = spark.read.schema(shape).option("recursiveFileLookup", "true").parquet(updates)
         last = rows.groupBy("digest").agg(F.max_by(F.struct("stays", "seen"), "number").alias("last"))
-        return last.select("digest", "last.stays", "last.seen"), [updates]
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):  # no batch ran: the table is empty
+        return last.select("digest", "last.stays", "last.seen")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":  # no batch ran: the table is empty
             raise
-        return spark.createDataFrame([], shape).drop("number"), []
+        return spark.createDataFrame([], shape).drop("number")
 
 
-def classes(docs: DataFrame, digest: Callable[[bytes], bytes] = sha256, bytes_per_trigger: int = 1 << 30) -> DataFrame:
-    """One row per row of docs: doc_id, row, keep_id, group_size, kept, text_sha256, locator of the row that stays."""
+def classes(docs: DataFrame, digest: Callable[[bytes], bytes] = sha256, bytes_per_trigger: int = 1 << 30, state: str | None = None) -> DataFrame:
+    """One row per row of docs: doc_id, FILE and AT (its place in located docs), keep_id, group_size, kept, text_sha256.
+
+    state: a shared folder that keeps the state for later runs; without it the run begins with an empty one.
+    """
     spark = docs.sparkSession
-    prints, path = store(fingerprints(docs, digest), "dedup-prints")
-    state, folders = stream_state(spark, path, prints.schema, bytes_per_trigger)
-    state, state_path = store(state, "dedup-classes")
-    drop(*folders)
+    docs = docs if FILE in docs.columns else located(docs)
+    home = state or new_path(spark, "dedup-state")
+    mine = f"{home}/prints/{uuid.uuid4().hex}"
+    fingerprints(docs, digest).write.parquet(mine)
+    prints = spark.read.schema(PRINTS).parquet(mine)
+    found, _ = store(stream_state(spark, f"{home}/prints", f"{home}/updates", f"{home}/checkpoint", bytes_per_trigger), "dedup-classes")
 
     # Full bytes on hits: within a digest the least and the greatest normalised text must be the same.
-    hit = prints.join(state.where("seen > 1").select("digest"), "digest", "left_semi").select("doc_id").distinct()
-    hit, hit_path = store(hit, "dedup-hits")
+    hit = prints.join(found.where("seen > 1").select("digest"), "digest", "left_semi").select("digest", FILE, AT)
+    hit, _ = store(hit, "dedup-hits")
 
     def bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            norm = [normal(t) for t in texts(b.column("text"))]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([digest(x) for x in norm], pa.binary()), pa.array(norm, pa.binary())], ["doc_id", "digest", "norm"])
+            norm = pa.array([normal(t) for t in texts(b.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("digest", FILE, AT)), norm], ["digest", FILE, AT, "norm"])
 
-    plain = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    keyed = small(hit).withColumnRenamed("doc_id", "hit_id")
-    full = plain.join(keyed, plain.doc_id.eqNullSafe(keyed.hit_id), "left_semi").mapInArrow(bytes_of, "doc_id long, digest binary, norm binary")
-    bad, bad_path = store(full.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("z")).where("a <> z").select("digest"), "dedup-collisions")
+    full = docs.select(F.col("text").cast("string"), FILE, AT).join(small(hit), [FILE, AT]).mapInArrow(bytes_of, f"digest binary, {FILE} long, {AT} long, norm binary")
+    bad, _ = store(full.groupBy("digest").agg(F.min("norm").alias("a"), F.max("norm").alias("z")).where("a <> z").select("digest"), "dedup-collisions")
 
-    out = prints.join(state, "digest")
+    out = prints.join(found, "digest")
     if not bad.isEmpty():
-        split = full.join(bad, "digest", "left_semi").select("doc_id", "digest", "norm").distinct()
-        odd = prints.join(bad, "digest", "left_semi").join(split.withColumnRenamed("doc_id", "other"), ["digest"])
-        odd = odd.where(F.col("doc_id").eqNullSafe(F.col("other")) & (F.coalesce("sha", F.sha2("norm", 256)) == F.sha2("norm", 256))).drop("other")
-        own = odd.groupBy("digest", "norm").agg(F.min(F.struct((-F.col("n")).alias("less"), "doc_id", "row", "locator")).alias("stays"), F.count("*").alias("seen"))
-        odd = odd.join(own, ["digest", "norm"]).drop("norm")
+        odd = prints.join(bad, "digest", "left_semi").join(full.select(FILE, AT, "norm"), [FILE, AT])
+        own = odd.groupBy("digest", "norm").agg(best_row().alias("stays"), F.count("*").alias("seen"))
+        odd = odd.join(own, ["digest", "norm"]).select(out.columns)
         out = out.join(bad, "digest", "left_anti").unionByName(odd)
-    return out.select(
-        "doc_id", "row", F.col("stays.doc_id").alias("keep_id"), F.col("seen").alias("group_size"), (F.col("row") == F.col("stays.row")).alias("kept"),
-        F.coalesce("sha", F.lower(F.hex("digest"))).alias("text_sha256"), F.col("stays.locator").alias("locator"),
-    )
+    kept = (F.col(FILE) == F.col(f"stays.{FILE}")) & (F.col(AT) == F.col(f"stays.{AT}"))
+    out = out.select("doc_id", FILE, AT, F.col("stays.doc_id").alias("keep_id"), F.col("seen").alias("group_size"), kept.alias("kept"), F.coalesce("sha", F.lower(F.hex("digest"))).alias("text_sha256"))
+    return out
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,16 +136,9 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with their columns."""
-    found, _ = store(classes(docs), "dedup-out")
-    gone = found.groupBy("doc_id").agg(F.max("kept").alias("any"), F.count_if(~F.col("kept")).alias("lost"))
-    gone, _ = store(gone.where("NOT any OR lost > 0"), "dedup-gone")
-    out = without(docs, gone.where("NOT any"))
-    if not gone.where("any").isEmpty():  # ids that stay and go at once: repeated rows
-        norm = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", ""), 256)
-        again = gone.where("any").select("doc_id")
-        once = out.join(again, "doc_id", "left_semi").withColumn("__lf_norm", norm).orderBy(F.length("text").desc()).dropDuplicates(["doc_id", "__lf_norm"]).drop("__lf_norm")
-        out = out.join(again, "doc_id", "left_anti").select(*docs.columns).unionByName(once.select(*docs.columns))
-    return out
+    docs = located(docs)
+    gone, _ = store(classes(docs).where("NOT kept").select(FILE, AT), "dedup-gone")
+    return without_rows(docs, gone)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

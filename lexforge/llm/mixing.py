@@ -1,11 +1,11 @@
 """Mixing sources to target weights by systematic sampling (DataFrame functions only).
 
 A document's expected copies are target / size of its source. Within a source the documents stand in a fixed order (size,
-block of ids, id); the running sum of expected copies plus one offset drawn per source crosses an integer for each copy to
-emit. As all documents of a source expect the same number, the running sum is rank * rate, and the rank is built from three
-prefix sums, each over a small group: sizes within a source, blocks of 4096 ids within a size, ids within a block. So a
-source with a third of all rows, or copies of one text, never meet in one task. Ordering by size keeps the words taken
-within about one document of the target.
+then id, null first); the running sum of expected copies plus one offset drawn per source crosses an integer for each copy to
+emit. As all documents of a source expect the same number, the running sum is rank * rate, and the rank is the
+number of rows in earlier ranges and before the row in its own. Ranges cut the order of (source, size, id) into parts of
+like length, so a source with a third of all rows, or copies of one text, never meet in one task. Ordering by size keeps the
+words taken within about one document of the target.
 
 Targets: weights 1, 2, 3 repeating over the sources by code point (null last) share all sizes; a target stops at
 `most` times its source's size and the excess is reshared by weight. That is water-filling: with sources ordered by
@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexforge.llm.common import WORD_PATTERN, documents, drop, new_path, store
+from lexforge.llm.common import AT, FILE, WORD_PATTERN, documents, drop, located, small, store
 
-BLOCK = 4096
+#: Rows of one range of the order, on average, at most.
+RANGE = 1 << 18
 SEED = "mix-1"
 
 
@@ -56,28 +57,38 @@ def offset(source: Column, seed: str = SEED) -> Column:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), most: int = 3, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies, taken: one row per row of docs."""
-    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"))
-    narrow, _ = store(narrow.withColumn("block", F.floor(F.coalesce("doc_id", F.lit(-1)) / BLOCK)), "mix-sizes")
-    by_block = narrow.groupBy("source", "size", "block").count()
-    by_block, _ = store(by_block, "mix-blocks")  # at most one row per document, far fewer under hot sizes
-    by_size = by_block.groupBy("source", "size").agg(F.sum("count").alias("count"))
-    rates = targets(by_size.groupBy("source").agg(F.sum(F.col("size") * F.col("count")).alias("source_size")), weights, most)
+    """doc_id, source, size, source_size, target, copies, taken, and of located docs the places: one row per row of docs."""
+    places = [c for c in (FILE, AT) if c in docs.columns]
+    narrow = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), word_count(F.col("text")).alias("size"), *places)
+    narrow, narrow_path = store(narrow, "mix-sizes")
+    by_id, id_path = store(narrow.groupBy("source", "size", "doc_id").count(), "mix-ids")  # repeated rows are combined
+    # Ranges of (source, size, id) of like numbers of rows: a hot source or size is split among them.
+    ranges = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-narrow.count() // RANGE))
+    ordered = by_id.repartitionByRange(ranges, F.col("source").asc_nulls_last(), "size", F.col("doc_id").asc_nulls_first()).withColumn("range", F.spark_partition_id())
+    by_id, ranged_path = store(ordered, "mix-ranges")
+    drop(id_path)
+    sums = by_id.groupBy("source", "range").agg(F.sum("count").alias("rows"), F.sum(F.col("size") * F.col("count")).alias("words"))
+    sums, sums_path = store(sums, "mix-sums")  # one row per range and source
+    rates = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     rates, _ = store(rates.withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)).withColumn("start", offset(F.col("source"), seed)), "mix-rates")
 
-    before = lambda w: F.coalesce(F.sum("count").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = by_size.select("source", "size", before(Window.partitionBy("source").orderBy("size")).alias("lower"))
-    blocks = by_block.select("source", "size", "block", before(Window.partitionBy("source", "size").orderBy("block")).alias("earlier"))
+    before = lambda column, w: F.coalesce(F.sum(column).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = sums.select("source", "range", before("rows", Window.partitionBy("source").orderBy("range")).alias("base"))
     same = lambda a, b, *keys: [a[k].eqNullSafe(b[k]) for k in keys]
-    base = blocks.join(sizes, same(blocks, sizes, "source", "size")).select(blocks.source, blocks["size"], blocks.block, (F.col("lower") + F.col("earlier")).alias("base"))
-    rates = F.broadcast(rates) if rates.count() <= 100_000 else rates
-    base = base.join(rates, same(base, rates, "source")).select(base.source, base["size"], base.block, "base", "source_size", "target", "rate", "start")
-    ranked = narrow.withColumn("place", F.row_number().over(Window.partitionBy("source", "size", "block").orderBy("doc_id")))
-    out = ranked.join(base, same(ranked, base, "source", "size", "block"))
-    place = F.col("base") + F.col("place")
+    few = F.broadcast(rates) if rates.count() <= 100_000 else rates
+    base = base.join(few, same(base, few, "source")).select(base.source, "range", "base", "source_size", "target", "rate", "start")
+    within = Window.partitionBy("range", "source").orderBy("size", F.col("doc_id").asc_nulls_first())
+    placed = by_id.withColumn("earlier", before("count", within))
+    placed = placed.join(base, same(placed, base, "source", "range")).select(placed.source, "size", "doc_id", (F.col("base") + F.col("earlier")).alias("base"), "source_size", "target", "rate", "start")
+    placed, _ = store(placed, "mix-places")
+    drop(ranged_path, sums_path)
+    again = [F.col(c) for c in places] or [F.lit(0)]
+    ranked = narrow.withColumn("turn", F.row_number().over(Window.partitionBy("source", "size", "doc_id").orderBy(*again)))
+    out = ranked.join(placed, same(ranked, placed, "source", "size", "doc_id"))
+    place = F.col("base") + F.col("turn")
     cross = F.floor(place * F.col("rate") + F.col("start")) - F.floor((place - 1) * F.col("rate") + F.col("start"))
     out = out.withColumn("copies", F.least(cross, F.lit(most)).cast("long"))
-    return out.select("doc_id", ranked.source, ranked["size"], "source_size", "target", "copies", (F.col("copies") * ranked["size"]).alias("taken"))
+    return out.select(ranked.doc_id, ranked.source, ranked["size"], "source_size", "target", "copies", (F.col("copies") * ranked["size"]).alias("taken"), *places)
 
 
 def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,11 +97,10 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of docs as often as the mix takes them (a row may come several times), with their columns."""
-    copies, _ = store(mix(docs).groupBy("doc_id").agg(F.sum("copies").alias("__lf_copies"), F.count("*").alias("__lf_rows")).withColumnRenamed("doc_id", "__lf_id"), "mix-copies")
-    out = docs.join(copies, docs.doc_id.eqNullSafe(copies["__lf_id"]))
-    # Rows that share one id share its copies: each takes the whole part, the remainder goes to none of them in particular.
-    each = F.ceil(F.col("__lf_copies") / F.col("__lf_rows")).cast("int")
-    return out.withColumn("__lf_again", F.explode(F.array_repeat(F.lit(1), each))).select(*docs.columns)
+    docs = located(docs)
+    copies, _ = store(mix(docs).where("copies > 0").select(FILE, AT, F.col("copies").cast("int").alias("__lf_copies")), "mix-copies")
+    again = docs.join(small(copies), [FILE, AT]).withColumn("__lf_again", F.explode(F.array_repeat(F.lit(1), F.col("__lf_copies"))))
+    return again.drop(FILE, AT, "__lf_copies", "__lf_again")
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
