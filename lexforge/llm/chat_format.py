@@ -10,7 +10,8 @@ one task; `conversations()` does so for those who want one string each.
 Defined results: null roles and texts count as empty; text that is no JSON is kept as it is, and its calls are `malformed`;
 an identifier used by several calls of one conversation belongs to the first (smallest turn, then place in the turn);
 a result without call is an `orphan` and stays in its own place; several results of one call are all linked, in the order
-of their turns; a call without result has `n_open` counted; repeated rows stay repeated; a null conv_id is a conversation;
+of their turns; a call without result has `n_open` counted; repeated rows stay repeated; rows of one turn with different
+texts each have the calls of their own text (an identifier they share is linked to the smallest place, then name); a null conv_id is a conversation;
 an empty table gives no rows; further columns are ignored, whatever their names.
 """
 
@@ -58,10 +59,10 @@ def valid_arguments(name: Column, arguments: Column, schemas: dict[str, dict[str
 
 
 def calls_of(turns: DataFrame, schemas: dict[str, dict[str, str]]) -> DataFrame:
-    """One row per call: conv_id, turn, place, call_id, name, arguments (canonical), valid, malformed."""
-    found = turns.where(F.col("role") == "assistant").select("conv_id", "turn", F.posexplode(F.regexp_extract_all("text", F.lit(CALL), 1)).alias("place", "raw"))
+    """One row per call: conv_id, turn, mark (of the text), place, call_id, name, arguments (canonical), valid, malformed."""
+    found = turns.where(F.col("role") == "assistant").select("conv_id", "turn", "mark", F.posexplode(F.regexp_extract_all("text", F.lit(CALL), 1)).alias("place", "raw"))
     known = found.select(
-        "conv_id", "turn", "place", _part(F.col("raw"), "$.id").cast("string").alias("call_id"), _part(F.col("raw"), "$.name").cast("string").alias("name"),
+        "conv_id", "turn", "mark", "place", _part(F.col("raw"), "$.id").cast("string").alias("call_id"), _part(F.col("raw"), "$.name").cast("string").alias("name"),
         F.to_json(_part(F.col("raw"), "$.arguments")).alias("arguments"), canonical(F.col("raw")).isNull().alias("malformed"),
     )
     return known.withColumn("valid", valid_arguments(F.col("name"), F.coalesce("arguments", F.lit("null")), schemas))
@@ -70,6 +71,7 @@ def calls_of(turns: DataFrame, schemas: dict[str, dict[str, str]]) -> DataFrame:
 def formatted(turns: DataFrame, schemas: dict[str, dict[str, str]] = SCHEMAS) -> DataFrame:
     """One row per turn: conv_id, turn, role, the order columns, link, n_calls, n_valid, n_open, message."""
     t = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    t = t.withColumn("mark", F.xxhash64("text"))  # rows of one turn with different texts have their own calls
     tool = t.role == "tool"
     t = t.withColumn("result_id", F.when(tool, _part(F.col("text"), "$.tool_call_id").cast("string")))
     t = t.withColumn("result", F.when(tool, F.to_json(_part(F.col("text"), "$.content"))))
@@ -81,11 +83,11 @@ def formatted(turns: DataFrame, schemas: dict[str, dict[str, str]] = SCHEMAS) ->
     # Calls of one turn, in order; an array is bounded by the calls in one text. Repeated rows have equal calls: sets of structs.
     mine = calls.join(answered, calls.conv_id.eqNullSafe(answered.ac) & (calls.call_id == answered.ai), "left").withColumn("open", answered.ai.isNull())
     json = F.concat(F.lit('{"arguments":'), F.coalesce("arguments", F.lit("null")), F.lit(',"id":'), _quoted("call_id"), F.lit(',"name":'), _quoted("name"), F.lit(',"valid":'), F.col("valid").cast("string"), F.lit("}"))
-    of_turn = mine.withColumn("json", json).groupBy("conv_id", "turn").agg(F.sort_array(F.collect_set(F.struct("place", "call_id", "json", "valid", "open", "malformed"))).alias("calls"))
-    of_turn = of_turn.select(F.col("conv_id").alias("oc"), F.col("turn").alias("ot"), "calls")
+    of_turn = mine.withColumn("json", json).groupBy("conv_id", "turn", "mark").agg(F.sort_array(F.collect_set(F.struct("place", "call_id", "json", "valid", "open", "malformed"))).alias("calls"))
+    of_turn = of_turn.select(F.col("conv_id").alias("oc"), F.col("turn").alias("ot"), F.col("mark").alias("om"), "calls")
 
     out = t.join(first, t.conv_id.eqNullSafe(first.c) & (t.result_id == first.call_id), "left")
-    out = out.join(of_turn, out.conv_id.eqNullSafe(of_turn.oc) & out.turn.eqNullSafe(of_turn.ot) & (out.role == "assistant"), "left")
+    out = out.join(of_turn, out.conv_id.eqNullSafe(of_turn.oc) & out.turn.eqNullSafe(of_turn.ot) & (out.mark == of_turn.om) & (out.role == "assistant"), "left")
     linked = F.col("call").isNotNull()
     none = F.array().cast("array<struct<place:int,call_id:string,json:string,valid:boolean,open:boolean,malformed:boolean>>")
     calls_ = F.coalesce("calls", none)

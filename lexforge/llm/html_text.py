@@ -6,11 +6,15 @@ clusters by a threshold; the lines of the upper cluster are content regions. The
 article: the smallest one with (nearly) all of their text. Of that element every block counts, however short, except what
 stands in menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader comments. A wrapper that
 is such by its class, id or role, or a form, is kept if it holds the main region: where the text beside all wrappers is less
-than a fourth of the region within.
+than a fourth of the region within. Headings, paragraphs and other elements of running text are judged by whole words of
+class and role only, never by their ids (which are often made of their words). Where a name only contains a word that
+articles use as well (ad-hoc, related-work), the clusters decide: such lines go only if they are outside the content regions.
 
 Where no element below the body holds the regions, the blocks from the first region to the last are taken, without those
 that are mostly links.
 
+Every event costs the same however deep the page is nested; a block keeps its element's number, not its path.
+
 Defined results: null and empty html, and pages without text, give an empty text; markup errors never fail (what cannot
 be parsed loses its first character and counts as text); repeated rows are extracted row by row; extra columns are ignored, whatever
 their names; an empty table gives no rows.
@@ -45,6 +49,10 @@ HOLDERS = frozenset("article main section div body td center table tbody tr bloc
 MARKS = frozenset("ad ads adv advert adverts advertisement advertising adsbygoogle banner banners sponsor sponsored sponsors promo promos promotion sidebar sidebars aside menu menus nav navbar navigation breadcrumb breadcrumbs header masthead footer foot footnav cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended comment comments commentlist disqus respond replies reply pagination pager toolbar widget widgets copyright complementary contentinfo search".split())
 #: Of these, the words of reader comments: such a wrapper holds the main region only where no other text is left.
 COMMENTS = frozenset("comment comments commentlist disqus respond replies reply".split())
+#: Of these, the words that articles use too: as a part of a longer name they count only outside the content regions.
+COMMON = frozenset("ad ads aside alert foot header login notice notices modal overlay popup promotion recommended related replies reply respond search share sharing signup social subscribe subscription toolbar widget widgets copyright banner".split())
+#: Elements of running text.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th blockquote pre figure figcaption table tr".split())
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SIGMA = 1.5
 
@@ -54,93 +62,119 @@ class Block:
     text: str
     linked: int
     tags: int
-    path: tuple[int, ...]
-    wrappers: tuple[int, ...] = ()  # open elements that are skipped for their marks only, or forms
+    at: int  # number of the innermost element
+    wrapper: int  # the innermost open element that is skipped for its marks only, or a form; 0 if none
+    weak: int  # the innermost open element whose name only contains a common word; 0 if none
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     tag: str
     number: int
     skip: bool
     soft: bool = False
+    weak: bool = False
 
 
 @dataclass
 class Lines(HTMLParser):
-    """Parser events to blocks."""
+    """Parser events to blocks. Elements are numbered in the order of their beginnings, so a subtree is a range of numbers."""
 
     blocks: list[Block] = field(default_factory=list)
 
     def __post_init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[Element] = []
-        self.count = self.tags = self.linked = self.links = 0
+        self.open: dict[str, list[int]] = {}  # places in the stack by tag
+        self.tags = self.linked = self.links = self.hards = 0
         self.parts: list[str] = []
-        self.comments: set[int] = set()
-        self.names = [""]  # tag by element number
+        self.wrap: list[int] = []  # open skipped elements
+        self.weaks: list[int] = []  # open elements with such names
+        self.outer: dict[int, int] = {}  # of skipped elements: the skipped element around it
+        self.comments: set[int] = set()  # skipped elements in reader comments
+        self.names, self.parent = [""], [0]  # by element number
 
     def end_block(self) -> None:
         text = " ".join("".join(self.parts).split())
-        if text and not any(e.skip and not e.soft for e in self.stack):
-            self.blocks.append(Block(text, self.linked, self.tags, tuple(e.number for e in self.stack), tuple(e.number for e in self.stack if e.skip)))
+        if text and not self.hards:
+            self.blocks.append(Block(text, self.linked, self.tags, self.stack[-1].number if self.stack else 0, self.wrap[-1] if self.wrap else 0, self.weaks[-1] if self.weaks else 0))
         self.parts, self.tags, self.linked = [], 0, 0
 
+    def last(self, tags) -> int:
+        """The highest place in the stack of any of the tags; -1 if none is open."""
+        return max((places[-1] for t in tags if (places := self.open.get(t))), default=-1)
+
+    def push(self, e: Element) -> None:
+        self.open.setdefault(e.tag, []).append(len(self.stack))
+        self.parent.append(self.stack[-1].number if self.stack else 0)
+        self.stack.append(e)
+        self.links += e.tag == "a"
+        if e.weak:
+            self.weaks.append(e.number)
+        if e.skip:
+            self.hards += not e.soft
+            self.outer[e.number] = self.wrap[-1] if self.wrap else 0
+            if self.outer[e.number] in self.comments:
+                self.comments.add(e.number)
+            self.wrap.append(e.number)
+
+    def shown(self, e: Element) -> None:
+        if e.skip:
+            self.hards -= not e.soft
+            self.wrap.remove(e.number)
+            e.skip = False
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.end_block()
         for kind in ENDS.get(tag, ()):
-            for i in range(len(self.stack) - 1, -1, -1):
-                if self.stack[i].tag == kind:
-                    self.pop_to(i)
-                    break
-                if self.stack[i].tag in HOLDS[kind]:
-                    break
+            if (i := self.last([kind])) > self.last(HOLDS[kind]):
+                self.pop_to(i)
         self.tags += 1
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.parts.append(" ")
             return
-        if tag in ("article", "main"):  # an article inside a form or page header is no part of it
-            for e in self.stack:
-                e.skip = e.skip and e.tag not in ("form", "header")
-        self.count += 1
+        if tag in ("article", "main") and self.wrap:  # an article inside a form or page header is no part of it
+            for i in [*self.open.get("form", []), *self.open.get("header", [])]:
+                self.shown(self.stack[i])
         self.names.append(tag)
-        words = set() if tag in ("html", "body", "article", "main") else marks(attrs)
+        number = len(self.names) - 1
+        words, weak = (set(), False) if tag in ("html", "body", "article", "main") else marks(tag, attrs)
         skip = tag in SKIPPED or bool(words)
         if words & COMMENTS:
-            self.comments.add(self.count)
-        if skip and tag not in BLOCKS and not any(e.skip for e in self.stack):
-            self.hidden(tag)
+            self.comments.add(number)
+        if skip and tag not in BLOCKS and not self.wrap:  # inline: the text before it stays with what follows
+            self.push(Element(tag, number, True))
+            self.saved = (self.parts, self.tags, self.linked)
+            self.parts, self.tags, self.linked = [], 0, 0
         else:
-            self.stack.append(Element(tag, self.count, skip, skip and "" not in words and (tag == "form" or tag not in SKIPPED)))
-        self.links += tag == "a"
-
-    def hidden(self, tag: str) -> None:
-        """An inline element that is skipped: the text before it stays with what follows."""
-        self.stack.append(Element(tag, self.count, True))
-        self.saved = (self.parts, self.tags, self.linked)
-        self.parts, self.tags, self.linked = [], 0, 0
+            self.push(Element(tag, number, skip, skip and "" not in words and (tag == "form" or tag not in SKIPPED), weak and not skip))
 
     def pop_to(self, i: int) -> None:
-        block = any(e.tag in BLOCKS for e in self.stack[i:])
-        inline = next((e for e in self.stack[i:] if e.skip and e.tag not in BLOCKS), None)
-        if inline and not any(e.skip for e in self.stack[:i]) and hasattr(self, "saved"):
+        gone = self.stack[i:]
+        block = any(e.tag in BLOCKS for e in gone)
+        inline = any(e.skip and e.tag not in BLOCKS for e in gone)
+        if inline and sum(e.skip for e in gone) == len(self.wrap) and hasattr(self, "saved"):
             self.parts, self.tags, self.linked = self.saved
             del self.saved
         if block:
             self.end_block()
-        self.links -= sum(e.tag == "a" for e in self.stack[i:])
+        for e in reversed(gone):
+            self.open[e.tag].pop()
+            self.links -= e.tag == "a"
+            if e.weak:
+                self.weaks.pop()
+            if e.skip:
+                self.hards -= not e.soft
+                self.wrap.pop()
         del self.stack[i:]
 
     def handle_endtag(self, tag: str) -> None:
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i].tag == tag:
-                self.pop_to(i)
-                return
-            if self.stack[i].tag in ("article", "main", "td", "th", "body") and tag not in BLOCKS:
-                return
-        if tag in BLOCKS:
+        i = self.last([tag])
+        if i >= 0 and (tag in BLOCKS or i >= self.last(("article", "main", "td", "th", "body"))):
+            self.pop_to(i)
+        elif tag in BLOCKS:
             self.end_block()
 
     def handle_data(self, data: str) -> None:
@@ -149,15 +183,22 @@ class Lines(HTMLParser):
             self.linked += len(data.strip())
 
 
-def marks(attrs: list[tuple[str, str | None]]) -> set[str]:
-    """The words that mark an element; "" for one that is not shown at all."""
-    found = set()
+def marks(tag: str, attrs: list[tuple[str, str | None]]) -> tuple[set[str], bool]:
+    """The words that mark an element ("" if it is not shown at all), and whether its names only contain common ones."""
+    found, weak = set(), False
     for name, value in attrs:
-        if name in ("class", "id", "role") and value:
-            found |= {w.lower() for w in WORD.findall(value)} & MARKS
+        if name in ("class", "id", "role") and value and not (name == "id" and tag in RUNNING):
+            for token in value.split():
+                words = [w.lower() for w in WORD.findall(token)]
+                hit = MARKS.intersection(words)
+                if len(words) == 1:
+                    found |= hit
+                elif tag not in RUNNING:
+                    found |= hit - COMMON
+                    weak = weak or bool(hit & COMMON)
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             found.add("")
-    return found
+    return found, weak
 
 
 def failed_at(error: BaseException) -> int:
@@ -183,21 +224,25 @@ def parsed(html: str) -> Lines:
     return parser
 
 
-def blocks_of(html: str) -> tuple[list[Block], list[str]]:
-    """The blocks of a page without those in wrappers that hold no main region, and the tags of the elements in their paths."""
+def blocks_of(html: str) -> tuple[list[Block], Lines]:
+    """The blocks of a page without those in wrappers that hold no main region, and the parser that knows their elements."""
     parser = parsed(html)
-    plain = [b for b in parser.blocks if not b.wrappers]
+    plain = [b for b in parser.blocks if not b.wrapper]
     size = lambda b: max(len(b.text) - b.linked, 0)
-    for some in ([b for b in parser.blocks if not parser.comments & set(b.wrappers)], parser.blocks if not plain else []):
+    for some in ([b for b in parser.blocks if b.wrapper not in parser.comments], parser.blocks if not plain else []):
         if len(some) > len(plain):
-            inner: dict[tuple[int, ...], int] = {}
+            inner: dict[int, int] = {}
             for b in some:
-                if b.wrappers:
-                    inner[b.wrappers] = inner.get(b.wrappers, 0) + size(b)
+                if b.wrapper:
+                    inner[b.wrapper] = inner.get(b.wrapper, 0) + size(b)
             best = max(inner, key=inner.get)  # the first of equal ones
             if inner[best] > 4 * sum(map(size, plain)):
-                return [b for b in some if set(b.wrappers) <= set(best)], parser.names
-    return plain, parser.names
+                around = {0}
+                while best:
+                    around.add(best)
+                    best = parser.outer[best]
+                return [b for b in some if b.wrapper in around], parser
+    return plain, parser
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -225,30 +270,42 @@ def threshold(values: np.ndarray) -> float:
 
 def main_text(html: str | None) -> str:
     """The article's blocks, joined by empty lines."""
-    blocks, names = blocks_of(html) if html else ([], [])
+    blocks, page = blocks_of(html) if html else ([], None)
     if not blocks:
         return ""
     chars = np.array([len(b.text) - b.linked for b in blocks], float).clip(0)
     wave = smoothed(chars / np.array([max(b.tags, 1) for b in blocks]))
-    region = np.flatnonzero(wave >= threshold(wave))
-    mass: dict[int, float] = {}
+    upper = wave >= threshold(wave)
+    region = np.flatnonzero(upper)
+    # By element: the regions' text, the blocks and the last number within it; children come after their parents.
+    names, parent = page.names, page.parent
+    mass, many, last = [0.0] * len(names), [0] * len(names), list(range(len(names)))
     for i in region:
-        for k in blocks[i].path:
-            mass[k] = mass.get(k, 0.0) + chars[i]
+        mass[blocks[i].at] += chars[i]
+    for b in blocks:
+        many[b.at] += 1
+    for k in range(len(names) - 1, 0, -1):
+        mass[parent[k]] += mass[k]
+        many[parent[k]] += many[k]
+        last[parent[k]] = max(last[parent[k]], last[k])
     total = chars[region].sum()
-    heaviest = blocks[int(region[np.argmax(chars[region])])]
-    path = [k for k in heaviest.path if names[k] in HOLDERS and mass[k] >= 0.8 * total]  # from the root downwards
-    inside = lambda k: [b for b in blocks if k in b.path]
+    path, k = [], blocks[int(region[np.argmax(chars[region])])].at
+    while k:
+        if names[k] in HOLDERS and mass[k] >= 0.8 * total:
+            path.append(k)
+        k = parent[k]
+    path.reverse()  # from the root downwards
     articles = [k for k in path if names[k] in ("article", "main")]
     holder = articles[-1] if articles else None
     while holder is None and path and names[path[-1]] not in ("html", "body"):
-        if len(inside(path[-1])) > 1 or len(path) < 2 or names[path[-2]] in ("html", "body"):
+        if many[path[-1]] > 1 or len(path) < 2 or names[path[-2]] in ("html", "body"):
             holder = path[-1]
         path.pop()
+    stays = [b.weak <= (holder or 0) or bool(up) for b, up in zip(blocks, upper)]  # such a name around the article says nothing
     if holder is not None:
-        return "\n\n".join(b.text for b in inside(holder))
-    first, last = int(region[0]), int(region[-1])
-    return "\n\n".join(b.text for b in blocks[first : last + 1] if b.linked <= 0.5 * len(b.text))
+        return "\n\n".join(b.text for b, stay in zip(blocks, stays) if stay and holder <= b.at <= last[holder])
+    first, end = int(region[0]), int(region[-1]) + 1
+    return "\n\n".join(b.text for b, stay in zip(blocks[first:end], stays[first:end]) if stay and b.linked <= 0.5 * len(b.text))
 
 
 def extracted(pages: DataFrame, key: str = "page_id") -> DataFrame:
