@@ -6,8 +6,10 @@ sees the probabilities of the earlier categories. In training those are out-of-f
 from probabilities as wrong as they will be on new rows. The default chain is quality, then toxic (the two categories that
 `labels` holds); any list of 0/1 label columns may be given.
 
-Models are fitted on a bounded sample of labelled rows (`max_train_rows`, lowest hashes of doc_id first) and at most
-`n_features` features a category; every row of the corpus is scored, over its whole text.
+Models are fitted on a bounded sample of labelled rows (`max_train_rows` and `max_train_words`, lowest hashes of doc_id
+first) and at most `n_features` features a category; the executors send the sample's distinct words, not its texts. Every row
+of the corpus is scored, over its whole text, a batch at a time: its words are looked up once for each different word, and
+the weights of the features found are summed.
 
 Defined results: a null or empty text has no words, so it gets the models' base rates; with no labelled rows at all (or
 one class only) a category's probability is its smoothed base rate (0 without rows); repeated rows and ties are scored
@@ -17,60 +19,70 @@ filter_toxic(); an empty table gives no rows.
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-import xxhash
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from lexforge.llm.common import documents, drop, store
+from lexforge.llm.packing import by_bytes
 
-WORDS = re.compile(r"[^\W\d_]+")
 CHAIN = ("quality", "toxic")
 #: Toxic rows are a tenth of the labelled ones, so probabilities of clean texts stay far below this.
 THRESHOLD = 0.25
 _SEEN = "__lf_words"
-
-
-#: Kinds of features: whole words (0) and beginnings of so many letters.
+#: Kinds of features: whole words (0) and beginnings of so many letters, of longer words only.
 BEGINNINGS = (0, 4, 5)
 
 
-def features_of(text: str | None) -> tuple[set[str], ...]:
-    """The distinct features of each kind; beginnings only of longer words."""
-    words = set(WORDS.findall(text.lower())) if text else set()
-    return tuple(words if not n else {w[:n] for w in words if len(w) > n} for n in BEGINNINGS)
-
-
-def hashes_of(text: str | None) -> np.ndarray:
-    h = [xxhash.xxh3_64_intdigest(f, kind) for kind, found in enumerate(features_of(text)) for f in found]
-    return np.unique(np.array(h, np.uint64))
+def words_of(text: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The different words of a batch of texts; for every word of every text its row and its place among them."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(text.cast(pa.large_string()), "")), r"[^\p{L}]+")
+    coded = pc.dictionary_encode(lists.flatten())
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    rows = np.repeat(np.arange(len(lists)), np.diff(np.asarray(lists.offsets, np.int64)))
+    real = (pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False) > 0)[at] if len(at) else np.zeros(0, bool)
+    return coded.dictionary, rows[real], at[real]
 
 
-@dataclass
-class Link:
-    """One linear model of the chain: feature weights by kind, weights of the earlier categories' probabilities, bias."""
-
-    category: str
-    weights: list[dict[str, float]] = field(default_factory=lambda: [{} for _ in BEGINNINGS])
-    earlier: list[float] = field(default_factory=list)
-    bias: float = 0.0
+def feature(words: pa.Array, kind: int) -> pa.Array:
+    """The feature of this kind of each word; null if it has none."""
+    if not kind:
+        return words
+    return pc.if_else(pc.greater(pc.utf8_length(words), kind), pc.utf8_slice_codeunits(words, 0, kind), pa.scalar(None, words.type))
 
 
 @dataclass
 class Chain:
-    links: list[Link]
-
-    def scores(self, text: str | None) -> list[float]:
-        """The probability of each category, in the chain's order."""
-        seen, out = features_of(text), []
-        for link in self.links:
-            z = link.bias + sum(known[f] for known, found in zip(link.weights, seen) for f in known.keys() & found) + sum(a * p for a, p in zip(link.earlier, out))
-            out.append(1.0 / (1.0 + float(np.exp(-min(max(z, -30.0), 30.0)))))
+    """Linear models: their features by kind, weights [feature, category], weights of earlier categories' probabilities, biases."""
+
+    categories: list[str]
+    features: list[pa.Array]
+    weights: np.ndarray
+    earlier: list[np.ndarray]
+    bias: list[float]
+
+    def scores(self, text: pa.Array) -> np.ndarray:
+        """The probability of each category, in the chain's order, by row."""
+        words, row, at = words_of(text)
+        pairs, first, many = [np.zeros(0, np.int64)], 0, max(len(self.weights), 1)
+        for kind, known in zip(BEGINNINGS, self.features):
+            place = pc.fill_null(pc.index_in(feature(words, kind), value_set=known, skip_nulls=True), -1).to_numpy(zero_copy_only=False)
+            hit = place[at]
+            on = hit >= 0
+            pairs.append(row[on] * many + (hit[on] + first))
+            first += len(known)
+        seen = np.unique(np.concatenate(pairs))  # a feature counts once a text
+        row, on = seen // many, seen % many
+        out = np.zeros((len(text), len(self.categories)))
+        for k in range(len(self.categories)):
+            z = self.bias[k] + np.bincount(row, weights=self.weights[on, k], minlength=len(text)) + out[:, :k] @ self.earlier[k]
+            out[:, k] = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         return out
 
 
@@ -128,17 +140,27 @@ def _fit_link(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int,
     return _Fitted(best, w[:k], w[k:-1], float(w[-1]))
 
 
-def fit_rows(texts: list[str | None], labels: dict[str, np.ndarray], chain: tuple[str, ...] = CHAIN, n_features: int = 1200, folds: int = 3, min_rows: int = 4) -> Chain:
-    """Fit the chain on rows held in memory (the bounded sample). Features are held as hashes; those chosen are named in the end."""
-    hashed = [hashes_of(t) for t in texts]
-    vocab, count = np.unique(np.concatenate([*hashed, np.zeros(0, np.uint64)]), return_counts=True)
-    vocab = vocab[count >= min_rows]
-    rows = []
-    for h in hashed:
-        at = np.minimum(np.searchsorted(vocab, h), max(len(vocab) - 1, 0))
-        rows.append(at[vocab[at] == h] if len(vocab) else at[:0])
-    del hashed, count
-    m, n, models, earlier = len(texts), len(vocab), [], np.zeros((len(texts), 0))
+def fit_rows(words: pa.ListArray, labels: dict[str, np.ndarray], chain: tuple[str, ...] = CHAIN, n_features: int = 1200, folds: int = 3, min_rows: int = 4) -> Chain:
+    """Fit the chain on the distinct words of rows held in memory (the bounded sample)."""
+    coded = pc.dictionary_encode(words.flatten())
+    row = np.repeat(np.arange(len(words)), np.diff(np.asarray(words.offsets, np.int64)))
+    names, pairs, first = [], [np.zeros(0, np.int64)], 0
+    m = len(words)
+    for kind in BEGINNINGS:
+        of = pc.dictionary_encode(feature(coded.dictionary, kind))
+        place = pc.fill_null(of.indices, -1).to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+        on = place >= 0
+        pairs.append(np.unique((place[on].astype(np.int64) + first) * m + row[on]))
+        names.append(of.dictionary)
+        first += len(of.dictionary)
+    feature_, row = np.divmod(np.concatenate(pairs), max(m, 1))
+    often = np.bincount(feature_, minlength=first) >= min_rows
+    new = np.cumsum(often) - 1
+    stay = often[feature_]
+    feature_, row = new[feature_[stay]], row[stay]
+    order = np.argsort(row, kind="stable")
+    rows = np.split(feature_[order], np.cumsum(np.bincount(row, minlength=m))[:-1]) if m else []
+    n, models, earlier = int(often.sum()), [], np.zeros((m, 0))
     fold = np.arange(m) % folds
     for c in chain:
         y = np.asarray(labels[c], dtype=float)
@@ -151,41 +173,59 @@ def fit_rows(texts: list[str | None], labels: dict[str, np.ndarray], chain: tupl
                     part = _fit_link([rows[i] for i in inn], earlier[inn], y[inn], n, n_features)
                     p[out] = part.predict([rows[i] for i in out], earlier[out], n)
         earlier = np.column_stack([earlier, p])
-    links = [Link(c, earlier=model.earlier.tolist(), bias=model.bias) for c, model in zip(chain, models)]
-    weight = [dict(zip(vocab[model.best].tolist(), model.weights.tolist())) for model in models]
-    for text in texts:
-        for kind, found in enumerate(features_of(text)):
-            for f in found:
-                h = xxhash.xxh3_64_intdigest(f, kind)
-                for link, w in zip(links, weight):
-                    if h in w:
-                        link.weights[kind][f] = w[h]
-    return Chain(links)
-
-
-def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_train_rows: int = 10000, n_features: int = 1200) -> Chain:
-    """Fit on at most max_train_rows labelled rows of docs; the ids with the lowest hashes are taken, so reruns agree."""
+    # Of all features of the sample only those that some model chose are kept.
+    weights = np.zeros((n, len(chain)))
+    for k, model in enumerate(models):
+        weights[model.best, k] = model.weights
+    used = np.zeros(first, bool)
+    used[np.flatnonzero(often)[np.flatnonzero(weights.any(1))]] = True
+    start, kept = 0, []
+    for of in names:
+        kept.append(of.filter(pa.array(used[start : start + len(of)])))
+        start += len(of)
+    return Chain(list(chain), kept, weights[new[used]], [model.earlier for model in models], [model.bias for model in models])
+
+
+def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_train_rows: int = 10000, max_train_words: int = 8_000_000, n_features: int = 1200) -> Chain:
+    """Fit on at most max_train_rows labelled rows of docs with at most max_train_words distinct words in all; the ids with the lowest hashes are taken, so reruns agree."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.expr(" AND ".join(f"`{c}` IN (0, 1)" for c in chain))).select("doc_id", *chain)
     ids, path = store(ids.orderBy(F.xxhash64("doc_id"), *ids.columns).limit(max_train_rows), "toxicity-ids")
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # at most max_train_rows rows
-    rows = rows.orderBy(F.xxhash64("doc_id"), F.xxhash64("text")).limit(max_train_rows)  # docs may repeat ids
-    got: dict[str, list] = {c: [] for c in ("text", *chain)}
-    for row in rows.select("text", *chain).toLocalIterator():
-        for c, x in zip(got, row):
-            got[c].append(x)
-    drop(path)
-    text = got.pop("text")
-    return fit_rows(text, {c: np.array(x, dtype=float) for c, x in got.items()}, chain, n_features)
+    label_of = ids.select(F.col("doc_id").alias("__lf_id"), *(F.col(c).cast("double").alias(f"__lf_{c}") for c in chain))
+    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(label_of), F.col("doc_id") == F.col("__lf_id"))  # at most max_train_rows rows
+    names = [f"__lf_{c}" for c in chain]
+
+    def run(batches):
+        for batch in batches:
+            for b in by_bytes(batch):
+                words, row, at = words_of(b.column("text"))
+                seen = np.unique(row * max(len(words), 1) + at)
+                row, at = np.divmod(seen, max(len(words), 1))
+                upto = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=b.num_rows))])
+                own = pa.ListArray.from_arrays(pa.array(upto, pa.int32()), words.take(pa.array(at)).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays([b.column("h"), b.column("t"), pa.array(np.diff(upto)), own, *(b.column(c) for c in names)], ["h", "t", "n", "words", *names])
+
+    shape = "h long, t long, n long, words array<string>, " + ", ".join(f"{c} double" for c in names)
+    rows = rows.select(F.xxhash64("doc_id").alias("h"), F.xxhash64("text").alias("t"), "text", *names).mapInArrow(run, shape)
+    rows = rows.orderBy("h", "t").limit(max_train_rows)  # docs may repeat ids
+    rows, rows_path = store(rows, "toxicity-rows")
+    upto = F.sum("n").over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))  # a window over the bounded sample
+    got = rows.withColumn("upto", upto).where(F.col("upto") <= max_train_words).select("words", *names).toArrow().combine_chunks()
+    drop(path, rows_path)
+    words = got["words"].combine_chunks() if isinstance(got["words"], pa.ChunkedArray) else got["words"]
+    if isinstance(words, pa.ChunkedArray):
+        words = words.chunk(0) if words.num_chunks else pa.array([], pa.list_(pa.string()))
+    return fit_rows(words, {c: got[f"__lf_{c}"].to_numpy() for c in chain}, chain, n_features)
 
 
 def with_probabilities(spark: SparkSession, model: Chain) -> "Column":
-    """A pandas UDF of the text: an array with one probability for each category."""
-    shared = spark.sparkContext.broadcast(model)  # n_features words a category at most
+    """An Arrow UDF of the text: an array with one probability for each category."""
+    shared = spark.sparkContext.broadcast(model)  # n_features features a category at most
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def probabilities(text: pd.Series) -> pd.Series:
-        scores = shared.value.scores
-        return pd.Series([scores(t) for t in text])
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def probabilities(text: pa.Array) -> pa.Array:
+        batch = pa.RecordBatch.from_arrays([text], ["text"])
+        p = np.concatenate([np.zeros((0, len(shared.value.categories))), *(shared.value.scores(b.column("text")) for b in by_bytes(batch))])
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.ravel()))
 
     return probabilities
 
@@ -193,7 +233,7 @@ def with_probabilities(spark: SparkSession, model: Chain) -> "Column":
 def scores(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the chain's probabilities, the last category as a flag, kept (its contrary)."""
     p = with_probabilities(docs.sparkSession, model)
-    names = [link.category for link in model.links]
+    names = model.categories
     out = docs.select("doc_id", p("text").alias(_SEEN))
     cols = [F.col(_SEEN)[i].alias(f"{c}_prob") for i, c in enumerate(names)]
     last = F.col(_SEEN)[len(names) - 1] >= threshold
@@ -203,7 +243,7 @@ def scores(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataF
 def filter_toxic(docs: DataFrame, model: Chain, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of docs, with their columns, that the chain's last category does not reject."""
     p = with_probabilities(docs.sparkSession, model)
-    k = len(model.links) - 1
+    k = len(model.categories) - 1
     return docs.withColumn(_SEEN, p("text")).where(F.col(_SEEN)[k] < threshold).select(*docs.columns)
 
 
