@@ -86,11 +86,24 @@ class Chain:
         return out
 
 
-def _logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int, rounds: int = 120, l2: float = 0.2) -> np.ndarray:
-    """Weights [n words, dense columns, bias] by full-batch gradient steps with per-coordinate scaling."""
-    at = np.concatenate([np.full(len(r), i) for i, r in enumerate(rows)]) if rows else np.zeros(0, int)
-    on = np.concatenate(rows).astype(int) if rows else np.zeros(0, int)
-    m = len(y)
+@dataclass
+class Entries:
+    """Which of n features m rows have: one entry for each, as small integers."""
+
+    row: np.ndarray
+    feature: np.ndarray
+    m: int
+    n: int
+
+    def of(self, chosen: np.ndarray) -> "Entries":
+        """Of the chosen rows only (a mask), numbered anew."""
+        on = chosen[self.row]
+        return Entries((np.cumsum(chosen, dtype=np.int32) - 1)[self.row[on]], self.feature[on], int(chosen.sum()), self.n)
+
+
+def _logistic(x: Entries, dense: np.ndarray, y: np.ndarray, rounds: int = 120, l2: float = 0.2) -> np.ndarray:
+    """Weights [features, dense columns, bias] by full-batch gradient steps with per-coordinate scaling."""
+    at, on, n, m = x.row, x.feature, x.n, x.m
     base = float(np.clip((y.sum() + 0.5) / (m + 1), 1e-4, 1 - 1e-4))
     w = np.zeros(n + dense.shape[1] + 1)
     w[-1] = np.log(base / (1 - base))
@@ -107,83 +120,88 @@ def _logistic(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int,
 
 @dataclass
 class _Fitted:
-    """A model over places in the vocabulary of the sample."""
+    """A model over the features of the sample."""
 
     best: np.ndarray
     weights: np.ndarray
     earlier: np.ndarray
     bias: float
 
-    def predict(self, rows: list[np.ndarray], dense: np.ndarray, n: int) -> np.ndarray:
-        w = np.zeros(n)
+    def predict(self, x: Entries, dense: np.ndarray) -> np.ndarray:
+        w = np.zeros(x.n)
         w[self.best] = self.weights
-        z = np.array([w[r].sum() for r in rows]) + dense @ self.earlier + self.bias
+        z = np.bincount(x.row, weights=w[x.feature], minlength=x.m) + dense @ self.earlier + self.bias
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit_link(rows: list[np.ndarray], dense: np.ndarray, y: np.ndarray, n: int, n_features: int) -> _Fitted:
+def _fit_link(x: Entries, dense: np.ndarray, y: np.ndarray, n_features: int) -> _Fitted:
     """Choose the features that tell the classes apart best (z-score of the log odds), then fit on them."""
     if len(y) == 0 or y.min() == y.max():
         base = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 1e-9
         return _Fitted(np.zeros(0, int), np.zeros(0), np.zeros(dense.shape[1]), float(np.log(base / (1 - base))))
-    flat = np.concatenate(rows)
-    hit = np.repeat(y, [len(r) for r in rows])
-    one, all_ = np.bincount(flat, weights=hit, minlength=n) + 0.5, np.bincount(flat, minlength=n) + 1.0
+    one, all_ = np.bincount(x.feature[(y > 0)[x.row]], minlength=x.n) + 0.5, np.bincount(x.feature, minlength=x.n) + 1.0
     zero = all_ - one
     n1, n0 = y.sum() + 1.0, len(y) - y.sum() + 1.0
-    z = np.abs(np.log(one / n1) - np.log(zero / n0)) / np.sqrt(1 / one + 1 / zero)
-    best = np.sort(np.argsort(-z, kind="stable")[:n_features])
-    place = np.full(n, -1)
+    score = np.abs(np.log(one / n1) - np.log(zero / n0)) / np.sqrt(1 / one + 1 / zero)
+    best = np.sort(np.argsort(-score, kind="stable")[:n_features])
+    place = np.full(x.n, -1, np.int32)
     place[best] = np.arange(len(best))
-    w = _logistic([place[r][place[r] >= 0] for r in rows], dense, y, len(best))
+    place = place[x.feature]
+    on = place >= 0
+    w = _logistic(Entries(x.row[on], place[on], x.m, len(best)), dense, y)
     k = len(best)
     return _Fitted(best, w[:k], w[k:-1], float(w[-1]))
 
 
-def fit_rows(words: pa.ListArray, labels: dict[str, np.ndarray], chain: tuple[str, ...] = CHAIN, n_features: int = 1200, folds: int = 3, min_rows: int = 4) -> Chain:
-    """Fit the chain on the distinct words of rows held in memory (the bounded sample)."""
+def entries_of(words: pa.ListArray, min_rows: int) -> tuple[Entries, list[pa.Array]]:
+    """The features, by kind, that at least min_rows rows have, and their entries."""
     coded = pc.dictionary_encode(words.flatten())
-    row = np.repeat(np.arange(len(words)), np.diff(np.asarray(words.offsets, np.int64)))
-    names, pairs, first = [], [np.zeros(0, np.int64)], 0
     m = len(words)
+    at, row_of = coded.indices.to_numpy(zero_copy_only=False), np.repeat(np.arange(m, dtype=np.int32), np.diff(np.asarray(words.offsets, np.int64)))
+    names, rows, features, first = [], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], 0
     for kind in BEGINNINGS:
         of = pc.dictionary_encode(feature(coded.dictionary, kind))
-        place = pc.fill_null(of.indices, -1).to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+        place = pc.fill_null(of.indices, -1).to_numpy(zero_copy_only=False)[at].astype(np.int64)
         on = place >= 0
-        pairs.append(np.unique((place[on].astype(np.int64) + first) * m + row[on]))
-        names.append(of.dictionary)
-        first += len(of.dictionary)
-    feature_, row = np.divmod(np.concatenate(pairs), max(m, 1))
-    often = np.bincount(feature_, minlength=first) >= min_rows
-    new = np.cumsum(often) - 1
-    stay = often[feature_]
-    feature_, row = new[feature_[stay]], row[stay]
-    order = np.argsort(row, kind="stable")
-    rows = np.split(feature_[order], np.cumsum(np.bincount(row, minlength=m))[:-1]) if m else []
-    n, models, earlier = int(often.sum()), [], np.zeros((m, 0))
-    fold = np.arange(m) % folds
+        pairs = place[on] * m + row_of[on]
+        del place, on
+        if kind:  # words of a row may begin alike
+            pairs.sort()
+            pairs = pairs[np.concatenate([[True], pairs[1:] != pairs[:-1]])] if len(pairs) else pairs
+        found = (pairs // max(m, 1)).astype(np.int32)
+        often = np.bincount(found, minlength=len(of.dictionary)) >= min_rows
+        stay = often[found]
+        rows.append((pairs[stay] % max(m, 1)).astype(np.int32))
+        features.append((np.cumsum(often, dtype=np.int32) - 1 + first)[found[stay]].astype(np.int32))
+        del pairs, found, stay
+        names.append(of.dictionary.filter(pa.array(often)))
+        first += len(names[-1])
+    return Entries(np.concatenate(rows), np.concatenate(features), m, first), names
+
+
+def fit_rows(words: pa.ListArray, labels: dict[str, np.ndarray], chain: tuple[str, ...] = CHAIN, n_features: int = 1200, folds: int = 3, min_rows: int = 4) -> Chain:
+    """Fit the chain on the distinct words of rows held in memory (the bounded sample)."""
+    x, names = entries_of(words, min_rows)
+    models, earlier, fold = [], np.zeros((x.m, 0)), np.arange(x.m) % folds
     for c in chain:
         y = np.asarray(labels[c], dtype=float)
-        models.append(_fit_link(rows, earlier, y, n, n_features))
-        p = np.zeros(m)
+        models.append(_fit_link(x, earlier, y, n_features))
+        p = np.zeros(x.m)
         if c != chain[-1]:
             for k in range(folds):
-                inn, out = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
-                if len(out):
-                    part = _fit_link([rows[i] for i in inn], earlier[inn], y[inn], n, n_features)
-                    p[out] = part.predict([rows[i] for i in out], earlier[out], n)
+                inn, out = fold != k, fold == k
+                if out.any():
+                    p[out] = _fit_link(x.of(inn), earlier[inn], y[inn], n_features).predict(x.of(out), earlier[out])
         earlier = np.column_stack([earlier, p])
     # Of all features of the sample only those that some model chose are kept.
-    weights = np.zeros((n, len(chain)))
+    weights = np.zeros((x.n, len(chain)))
     for k, model in enumerate(models):
         weights[model.best, k] = model.weights
-    used = np.zeros(first, bool)
-    used[np.flatnonzero(often)[np.flatnonzero(weights.any(1))]] = True
-    start, kept = 0, []
+    used, start, kept = weights.any(1), 0, []
     for of in names:
-        kept.append(of.filter(pa.array(used[start : start + len(of)])))
+        kept.append(of.filter(pa.array(used[start : start + len(of)], pa.bool_())))
         start += len(of)
-    return Chain(list(chain), kept, weights[new[used]], [model.earlier for model in models], [model.bias for model in models])
+    return Chain(list(chain), kept, weights[used], [model.earlier for model in models], [model.bias for model in models])
 
 
 def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_train_rows: int = 10000, max_train_words: int = 8_000_000, n_features: int = 1200) -> Chain:
@@ -211,10 +229,15 @@ def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_
     upto = F.sum("n").over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))  # a window over the bounded sample
     got = rows.withColumn("upto", upto).where(F.col("upto") <= max_train_words).select("words", *names).toArrow().combine_chunks()
     drop(path, rows_path)
+    y = {c: got[f"__lf_{c}"].to_numpy() for c in chain}
     words = got["words"].combine_chunks() if isinstance(got["words"], pa.ChunkedArray) else got["words"]
     if isinstance(words, pa.ChunkedArray):
         words = words.chunk(0) if words.num_chunks else pa.array([], pa.list_(pa.string()))
-    return fit_rows(words, {c: got[f"__lf_{c}"].to_numpy() for c in chain}, chain, n_features)
+    del got
+    model = fit_rows(words, y, chain, n_features)
+    del words
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def with_probabilities(spark: SparkSession, model: Chain) -> "Column":
