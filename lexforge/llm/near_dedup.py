@@ -5,7 +5,7 @@
    its pairs are never enumerated. Rounds with other hyperplanes gather pivots again; a cell over `UNIT` is split.
 2. NN-descent over the pivots: neighbour lists start from cells of further hyperplanes; each round joins the neighbours of
    every node with each other (and with its reverse neighbours) and keeps the best of each list. Lists whose last entry is
-   still within the threshold are saturated: they double, up to `WIDEST`. Pivots saturated beyond that leave the lists:
+   still within the threshold are saturated: they double, up to `WIDEST`, and rounds go on around them. Pivots saturated beyond that leave the lists:
    their balls' members are compared with all vectors, in blocks, which give counts and the links that join balls.
 3. An audit compares a fixed number of vectors, and of balls' pivots, with all vectors, in blocks. Recall is the mean share
    of each vector's links that was found, and counts once more for links outside the vector's own ball, so dense groups
@@ -139,14 +139,18 @@ def keep_best(pairs: DataFrame, sizes: DataFrame | None, size: int) -> DataFrame
     return ranked.join(sizes, "u", "left").where(F.col("rank") <= F.coalesce("size", F.lit(size))).select("u", "v", "cos")
 
 
-def descend(lists: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
+def descend(lists: DataFrame, nodes: DataFrame, size: int, active: DataFrame | None = None) -> DataFrame:
     """One NN-descent round: pairs found among the neighbours (and reverse neighbours) of each node, the lists included.
 
     A node's reverse neighbours are the best `size` of those that list it, so a popular node gathers no unbounded group.
+    active (unit): the nodes whose neighbours are joined, where only some lists can have changed.
     """
     back = keep_best(lists.select(F.col("v").alias("u"), F.col("u").alias("v"), "cos"), None, size)
     near = lists.unionByName(back).select(F.col("u").alias("unit"), F.col("v").alias("node"))
-    near = near.union(lists.select("u", F.col("u").alias("node"))).distinct().join(nodes.select("node", "x"), "node")
+    near = near.union(lists.select("u", F.col("u").alias("node")))
+    if active is not None:
+        near = near.join(active, "unit", "left_semi")
+    near = near.distinct().join(nodes.select("node", "x"), "node")
 
     def solve(rows: pd.DataFrame) -> pd.DataFrame:
         x, node = _matrix(rows["x"]), rows["node"].to_numpy()
@@ -198,10 +202,10 @@ def near_links(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
     # 2. Neighbour lists, 3. audit.
     reach = math.cos(min(limit + 2 * most + EDGE, math.pi))  # pivots of balls that could hold linked members
     lists, lists_path = store(keep_best(start_lists(balls, bits(left), list(range(trees)), size), None, size), "near-lists")
-    sizes, more, wide = None, trees, size
+    sizes, more, wide, active = None, trees, size, None
     while True:
         for _ in range(rounds):
-            step, path = store(keep_best(descend(lists, balls, wide), sizes, size), "near-lists")
+            step, path = store(keep_best(descend(lists, balls, wide, active), sizes, size), "near-lists")
             drop(lists_path)
             lists, lists_path = step, path
         worst = lists.groupBy("u").agg(F.min("cos").alias("worst"), F.count("*").alias("held"))
@@ -213,6 +217,9 @@ def near_links(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
             kept = grow if sizes is None else grow.unionByName(sizes.join(grow.select("u"), "u", "left_anti"))
             sizes, _ = store(kept, "near-sizes")
             wide = sizes.agg(F.max("size")).first()[0]
+            # Only the enlarged lists can take further entries: their nodes' neighbours are where these are found.
+            around = lists.join(grow.select("u"), "u", "left_semi").select(F.col("v").alias("unit"))
+            active, _ = store(around.union(grow.select("u")).distinct(), "near-active")
             continue
         edges = lists.where(F.col("cos") >= reach)
         exact = None
@@ -233,6 +240,7 @@ def near_links(vectors: DataFrame, key: str = "vec_id", column: str = "embedding
             drop(lists_path)
             lists, lists_path = step, path
         more *= 2
+        active = None
     return result.select(F.col("id").alias(key), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
