@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Parts of speech to tags, and the tags of words without any (fixed values).
 TAGS = {"noun": ("NNS",), "verb": ("VBD", "VBG", "VBZ", "VBN"), "adjective": ("JJR", "JJS"), "adverb": ("RBR", "RBS")}
 FALLBACK = ("NNS", "VBD", "VBG", "VBZ", "VBN")
 #: lemma, tag -> form

@@ -8,9 +8,15 @@ from pyspark.sql.window import Window
 
 from lexforge.functions.text import html_escape, or_empty, strip_u
 
+#: Categories that get no label (fixed values).
 NOISE = ("yaygın kullanım", "genel", "")
 
 
+#: Shades of labels, examples and their translations; quote marks and arrow of examples (fixed values).
+LABEL, EXAMPLE, FAINT = "#555", "#666", "#888"
+OPEN, CLOSE, ARROW = "&#8220;", "&#8221;", "&#8594; "
+
+
 def shown(senses: DataFrame) -> DataFrame:
     """Senses to render: blank translations and repeats of (part of speech, category, translation) go; `label` marks the first of a category."""
     s = senses.withColumn("tr", strip_u(or_empty(F.col("tr")))).where("tr <> ''")
@@ -23,15 +29,16 @@ def shown(senses: DataFrame) -> DataFrame:
 
 def paragraph(style: str = "rich", examples: bool = True) -> Column:
     """One sense. style `rich` has grey spans, `plain` has none."""
-    grey = lambda c: F.concat(F.lit('<span style="color:gray">'), c, F.lit("</span>")) if style == "rich" else c
+    grey = lambda c, shade: F.concat(F.lit(f'<span style="color:{shade}">'), c, F.lit("</span>")) if style == "rich" else c
     ex, tr = strip_u(or_empty(F.col("example_en"))), strip_u(or_empty(F.col("example_tr")))
     parts = [
         F.when(F.col("p") != "", F.concat(F.lit("<i>"), html_escape(F.col("p")), F.lit("</i>"))),
-        F.when(F.col("label"), grey(F.concat(F.lit("["), html_escape(F.col("cat")), F.lit("]")))),
+        F.when(F.col("label"), grey(F.concat(F.lit("["), html_escape(F.col("cat")), F.lit("]")), LABEL)),
         F.concat(F.lit("<b>"), html_escape(F.col("tr")), F.lit("</b>")),
     ]
     if examples:
-        parts += [F.when(ex != "", F.concat(F.lit("<br/>"), html_escape(ex), F.when(tr != "", F.concat(F.lit("<br/>"), grey(html_escape(tr)))).otherwise("")))]
+        parts += [F.when(ex != "", F.concat(F.lit("<br/>"), grey(F.concat(F.lit(OPEN), html_escape(ex), F.lit(CLOSE)), EXAMPLE)))]
+        parts += [F.when((ex != "") & (tr != ""), F.concat(F.lit("<br/>"), grey(F.concat(F.lit(ARROW), html_escape(tr)), FAINT)))]
     return F.concat(F.lit("<p>"), F.concat_ws(" ", *parts), F.lit("</p>"))
 
 
@@ -48,8 +55,8 @@ def bucket_entry(anchor: Column, main: Column, forms: Column, defs: Column, root
     var = F.array_join(F.transform(F.sort_array(forms), lambda v: F.concat(F.lit('<variant name="'), html_escape(v), F.lit('"/>'))), "")
     line = F.lit("")
     if roots is not None:
-        line = F.when((anchor == main) & (F.size(roots) > 0), F.concat(F.lit("<p>[kök: "), F.array_join(F.transform(roots, html_escape), ", "), F.lit("]</p>"))).otherwise("")
-    out = F.concat(F.lit('<w><a name="'), html_escape(anchor), F.lit('"/><div><b>'), name, F.lit("</b><var>"), var, F.lit("</var><br/>"), line, defs, F.lit("</div></w>"))
+        line = F.when((anchor == main) & (F.size(roots) > 0), F.concat(F.lit(f'<p><span style="color:{FAINT}">kök: '), F.array_join(F.transform(roots, lambda r: F.concat(F.lit("<b>"), html_escape(r), F.lit("</b>"))), ", "), F.lit("</span></p>"))).otherwise("")
+    out = F.concat(F.lit('<w><a name="'), html_escape(anchor), F.lit('" /><div><b>'), name, F.lit("</b><var>"), var, F.lit("</var><br/>"), line, defs, F.lit("</div></w>"))
     return F.when(or_empty(defs) == "", "").otherwise(out)
 
 
@@ -58,4 +65,4 @@ def reader_entry(number: Column, word: Column, defs: Column, forms: Column) -> C
     forms_ = F.array_join(F.transform(F.sort_array(forms), lambda v: F.concat(F.lit('<idx:iform value="'), html_escape(v), F.lit('"/>'))), "")
     group = F.when(F.size(forms) > 0, F.concat(F.lit("<idx:infl>"), forms_, F.lit("</idx:infl>"))).otherwise("")
     head = F.concat(F.lit('<idx:orth value="'), html_escape(word), F.lit('"><b>'), html_escape(word), F.lit("</b>"), group, F.lit("</idx:orth>"))
-    return F.concat(F.lit('<idx:entry name="default" scriptable="yes" spell="yes" id="'), number.cast("string"), F.lit('"><idx:short>'), head, defs, F.lit("</idx:short></idx:entry><hr/>"))
+    return F.concat(F.lit('<idx:entry name="default" scriptable="yes" spell="yes"><idx:short><a id="w'), number.cast("string"), F.lit('"></a>'), head, defs, F.lit("</idx:short></idx:entry><hr/>"))

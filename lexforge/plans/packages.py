@@ -6,6 +6,7 @@ import gzip
 import io
 import zipfile
 from datetime import date
+from html import escape
 from xml.dom import minidom
 from xml.parsers.expat import ExpatError
 
@@ -18,26 +19,25 @@ from pyspark.sql.window import Window
 from lexforge.functions.text import capitalized, normal_word, u32be, word_prefix
 from lexforge.operators.inflect import first_lemma, with_roots
 from lexforge.operators.render import bucket_entry, reader_entry
+from lexforge.plans.discover import kept
 
 
 def numbered(df: DataFrame, by: str, size: Column | None = None) -> DataFrame:
     """Adds position (0, 1, ... in the order of `by`) and, with size, the sum of sizes before.
 
-    Two passes: range partitions are numbered on their own, a small table of their totals gives each its start. Nothing but
-    that table meets in one task. The ranges are those of quantiles of `by`, computed once, so both passes agree.
+    Rows are dealt into ranges of `by` (quantiles) and kept; ranges are numbered on their own, and a table with one row of
+    totals a range gives each its start. Nothing but that table meets in one task.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     size = size if size is not None else F.lit(0)
     keyed = df.withColumn("_s", F.coalesce(size, F.lit(0)).cast("long"))
-    prefix = F.substring(by, 1, 2)  # the range: words that begin alike stay together
-    keyed = keyed.withColumn("_r", prefix)
+    keyed = kept(keyed.repartitionByRange(parts, by).withColumn("_r", F.spark_partition_id()))
     totals = keyed.groupBy("_r").agg(F.count("*").alias("_n"), F.sum("_s").alias("_t"))
     upto = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select("_r", F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_n0"), F.coalesce(F.sum("_t").over(upto), F.lit(0)).alias("_t0"))
     own = Window.partitionBy("_r").orderBy(by)
     before = F.coalesce(F.sum("_s").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = keyed.repartition(parts, "_r").withColumn("_k", F.row_number().over(own) - 1).withColumn("_b", before).join(starts, "_r")
+    out = keyed.withColumn("_k", F.row_number().over(own) - 1).withColumn("_b", before).join(starts, "_r")
     return out.withColumn("position", (F.col("_n0") + F.col("_k")).cast("long")).withColumn("start", (F.col("_t0") + F.col("_b")).cast("long")).drop("_s", "_r", "_n0", "_t0", "_k", "_b")
 
 
@@ -90,20 +90,24 @@ def buckets(words: DataFrame) -> DataFrame:
     r = with_roots(words).withColumn("prefix", word_prefix(F.col("w")))
     base = r.select("prefix", F.col("w").alias("anchor"), F.lit(0).alias("kind"), "word_ord", bucket_entry(F.col("w"), F.col("w"), F.col("variants"), F.col("body"), F.col("roots")).alias("html"))
     copy = r.select("*", F.explode("variants").alias("v")).where(word_prefix(F.col("v")) != F.col("prefix"))
-    none = F.array().cast("array<string>")
-    copy = copy.select(word_prefix(F.col("v")).alias("prefix"), F.col("v").alias("anchor"), F.lit(1).alias("kind"), "word_ord", bucket_entry(F.col("v"), F.col("w"), none, F.col("body")).alias("html"))
-    s = F.array_sort(F.collect_list(F.struct(F.length("anchor").alias("n"), "anchor", "kind", "word_ord", "html")))
+    copy = copy.select(word_prefix(F.col("v")).alias("prefix"), F.col("v").alias("anchor"), F.lit(1).alias("kind"), "word_ord", bucket_entry(F.col("v"), F.col("w"), F.col("variants"), F.col("body")).alias("html"))
+    s = F.array_sort(F.collect_list(F.struct(F.length("anchor").alias("n"), "anchor", "word_ord", "kind", "html")))
     return base.unionByName(copy).where("html <> ''").groupBy("prefix").agg(F.count("*").alias("entries"), F.array_join(F.transform(s, lambda x: x["html"]), "").alias("html"))
 
 
 def index_keys(words: DataFrame) -> DataFrame:
-    """Distinct headwords and forms; the sorted key table (a trie packer may take it further)."""
+    """Distinct headwords and forms of words with a body, if there is one; the sorted key table (a trie packer may take it further)."""
+    words = words.where("body <> ''") if "body" in words.columns else words
     return words.select(F.col("w").alias("key")).union(words.select(F.explode("variants"))).distinct()
 
 
+#: What stands around the entries of a bucket's member (fixed values).
+MEMBER = ('<?xml version="1.0" encoding="utf-8"?><html>\n', "</html>")
+
+
 @F.pandas_udf(BinaryType())
 def zipped(html: pd.Series) -> pd.Series:
-    return html.map(lambda x: gzip.compress(x.encode(), mtime=0))
+    return html.map(lambda x: gzip.compress(f"{MEMBER[0]}{x}{MEMBER[1]}".encode(), mtime=0))
 
 
 def write_buckets(words: DataFrame, target) -> None:
@@ -123,12 +127,21 @@ def chunks(words: DataFrame, per_chunk: int = 20_000) -> DataFrame:
     return kept.drop("position", "start")
 
 
+#: Namespaces of the reader format's chunk files (fixed values).
+GUIDELINES = "https://kindlegen.s3.amazonaws.com/AmazonKindlePublishingGuidelines.pdf"
+NAMESPACES = {
+    "math": "http://exslt.org/math", "svg": "http://www.w3.org/2000/svg", "tl": GUIDELINES, "saxon": "http://saxon.sf.net/", "xs": "http://www.w3.org/2001/XMLSchema",
+    "xsi": "http://www.w3.org/2001/XMLSchema-instance", "cx": GUIDELINES, "idx": GUIDELINES, "mbp": GUIDELINES, "mbname": GUIDELINES, "xlink": "http://www.w3.org/1999/xlink",
+}
+
+
 def chunk_files(rows: DataFrame, title: str) -> DataFrame:
     """rows: w, body, variants, entry_id, chunk. chunk, xhtml."""
     e = rows.withColumn("e", reader_entry(F.col("entry_id"), F.col("w"), F.col("body"), F.col("variants")))
     s = F.array_sort(F.collect_list(F.struct("entry_id", "e")))
-    head = f'<html xmlns="http://www.w3.org/1999/xhtml" xmlns:idx="urn:index"><head><title>{title}</title></head><body>'
-    return e.groupBy("chunk").agg(F.concat(F.lit(head), F.array_join(F.transform(s, lambda x: x["e"]), ""), F.lit("</body></html>")).alias("xhtml"))
+    spaces = " ".join(f'xmlns:{name}="{uri}"' for name, uri in NAMESPACES.items())
+    head = f'<?xml version="1.0" encoding="utf-8"?>\n<html {spaces}>\n<head><meta http-equiv="Content-Type" content="text/html; charset=utf-8"/><title>{escape(title)}</title></head>\n<body><mbp:frameset>'
+    return e.groupBy("chunk").agg(F.concat(F.lit(head), F.array_join(F.transform(s, lambda x: x["e"]), ""), F.lit("</mbp:frameset></body></html>")).alias("xhtml"))
 
 
 def well_formed(files: DataFrame) -> DataFrame:
@@ -149,12 +162,15 @@ def _parses(text: str) -> bool:
         return False
 
 
-def manifest(chunk_ids: list[int], title: str) -> str:
-    """The package file: items and reading order."""
-    items = "".join(f'<item id="c{i}" href="content{i}.html" media-type="application/xhtml+xml"/>' for i in chunk_ids)
-    spine = "".join(f'<itemref idref="c{i}"/>' for i in chunk_ids)
-    meta = f'<metadata xmlns:dc="http://purl.org/dc/elements/1.1/"><dc:title>{title}</dc:title><dc:language>en</dc:language></metadata>'
-    return f'<?xml version="1.0" encoding="utf-8"?><package version="2.0" xmlns="http://www.idpf.org/2007/opf">{meta}<manifest>{items}</manifest><spine>{spine}</spine></package>'
+def manifest(chunk_ids: list[int], title: str, identifier: str = "lexforge-en-tr", source: str = "en", target: str = "tr") -> str:
+    """The package file of a dictionary: its languages and index, items and reading order."""
+    items = "".join(f'<item id="content{i}" href="content{i}.html" media-type="application/xhtml+xml"/>\n' for i in chunk_ids)
+    spine = "".join(f'<itemref idref="content{i}"/>\n' for i in chunk_ids)
+    book = f'<dc:Title>{escape(title)}</dc:Title>\n<dc:Language>{target}</dc:Language>\n<dc:Identifier id="uid">{escape(identifier)}</dc:Identifier>'
+    names = 'xmlns:dc="http://purl.org/dc/elements/1.1/" xmlns:oebpackage="http://openebook.org/namespaces/oeb-package/1.0/"'
+    index = f"<DictionaryInLanguage>{source}</DictionaryInLanguage>\n<DictionaryOutLanguage>{target}</DictionaryOutLanguage>\n<DefaultLookupIndex>default</DefaultLookupIndex>"
+    meta = f"<metadata>\n<dc-metadata {names}>\n{book}\n</dc-metadata>\n<x-metadata>\n{index}\n</x-metadata>\n</metadata>"
+    return f'<?xml version="1.0" encoding="utf-8"?>\n<package unique-identifier="uid" xmlns:idx="{GUIDELINES}">\n{meta}\n<manifest>\n{items}</manifest>\n<spine>\n{spine}</spine>\n<guide></guide>\n</package>\n'
 
 
 def write_reader(words: DataFrame, title: str, target, per_chunk: int = 20_000) -> None:

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 from lexforge.functions import text as T
 from lexforge.operators import inflect, render, senses as S
 from lexforge.plans import packages as P
-from lexforge.plans.discover import fixpoint
+from lexforge.plans.discover import discover
 from lexforge.sources import html_table as H
 
 GAP = r"[ \t\r\f\x0B,;()]+"
@@ -47,9 +47,10 @@ senses AS (SELECT lower(tk[1]) AS en, tk[2] AS tr, lang AS pos, source AS catego
 FIRST = "f AS (SELECT * FROM senses QUALIFY row_number() OVER (PARTITION BY en, lower(tr), pos ORDER BY pr, sense_ord) = 1)"
 SQL_BODIES = VIEW + r""", a AS (SELECT * FROM senses WHERE tr <> '' QUALIFY row_number() OVER (PARTITION BY en, pos, lower(category), lower(tr) ORDER BY sense_ord) = 1),
 b AS (SELECT *, row_number() OVER (PARTITION BY en, lower(category) ORDER BY sense_ord) = 1 AND category <> '' AS label FROM a),
-esc AS (SELECT en, sense_ord, '<p>' || concat_ws(' ', CASE WHEN pos <> '' THEN '<i>' || pos || '</i>' END, CASE WHEN label THEN '<span style="color:gray">[' || category || ']</span>' END,
-  '<b>' || {e_tr} || '</b>', CASE WHEN ex IS NOT NULL THEN '<br/>' || {e_ex} || '<br/><span style="color:gray">' || {e_ex} || '</span>' END) || '</p>' AS html FROM b),
-bodies AS (SELECT en, string_agg(html, '' ORDER BY sense_ord) AS body FROM esc GROUP BY en)
+esc AS (SELECT en, sense_ord, '<p>' || concat_ws(' ', CASE WHEN pos <> '' THEN '<i>' || pos || '</i>' END, CASE WHEN label THEN '<span style="color:#555">[' || category || ']</span>' END,
+  '<b>' || {e_tr} || '</b>', CASE WHEN ex <> '' THEN '<br/><span style="color:#666">&#8220;' || {e_ex} || '&#8221;</span>' END, CASE WHEN ex <> '' THEN '<br/><span style="color:#888">&#8594; ' || {e_ex} || '</span>' END) || '</p>' AS html,
+  '<p>' || concat_ws(' ', CASE WHEN pos <> '' THEN '<i>' || pos || '</i>' END, CASE WHEN label THEN '[' || category || ']' END, '<b>' || {e_tr} || '</b>', CASE WHEN ex <> '' THEN '<br/>&#8220;' || {e_ex} || '&#8221;' END, CASE WHEN ex <> '' THEN '<br/>&#8594; ' || {e_ex} END) || '</p>' AS plain FROM b),
+bodies AS (SELECT en, string_agg(html, '' ORDER BY sense_ord) AS body, string_agg(plain, '' ORDER BY sense_ord) AS plain, min(sense_ord) AS word_ord FROM esc GROUP BY en)
 """.replace("{e_tr}", "replace(replace(replace(replace(replace(tr, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')").replace(
     "{e_ex}", "replace(replace(replace(replace(replace(ex, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
 )
@@ -122,38 +123,46 @@ def idx_offsets(spark, sf):
 
 
 def chunk_numbers(spark, sf):
-    w = words(spark, sf).select(F.col("en").alias("w"), F.when(F.length("en") % 5 != 0, F.col("body")).alias("body"))
-    return P.chunks(w, 100).select("w", "entry_id", "chunk")
+    w = words(spark, sf).select(F.col("en").alias("w"), "body")
+    return P.chunks(w).select("w", "entry_id", "chunk")
+
+
+def _tokens(spark, sf) -> DataFrame:
+    """All words of all documents as they are written: doc_id, en."""
+    return table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", r"[^A-Za-z]+")).alias("en")).where("en <> ''").distinct()
 
 
 def case_fallback(spark, sf):
-    line = table(spark, sf, "documents").select("doc_id", F.element_at(F.split("text", r"[^A-Za-z]+"), 1).alias("en")).where("en <> ''")
+    line = _tokens(spark, sf)
     w = line.groupBy("en").agg(F.min("doc_id").cast("string").alias("body"), F.min("doc_id").alias("word_ord"))
     return P.case_fallback(w.select(F.lower("en").alias("w")).distinct(), w)
 
 
 def last_headwords(spark, sf):
-    line = table(spark, sf, "documents").select("doc_id", F.element_at(F.split("text", r"[^A-Za-z]+"), 1).alias("en")).where("en <> ''")
+    line = _tokens(spark, sf)
     w = line.select("en", F.col("doc_id").cast("string").alias("body"), F.col("doc_id").alias("word_ord"))
     return P.last_of_each(w)
 
 
-def _plural(spark, sf) -> DataFrame:
-    w = words_of(table(spark, sf, "documents")).select(F.col("en").alias("w"))
+def _forms(spark, sf) -> DataFrame:
+    """All words of all documents with their forms; the languages they occur in stand for parts of speech."""
+    name = F.try_element_at(F.create_map(*[F.lit(x) for kv in POS.items() for x in kv]), F.col("lang"))
+    w = table(spark, sf, "documents").select("lang", F.explode(F.split(F.lower("text"), r"[^a-z]+")).alias("w")).where("w <> ''").distinct()
+    w = w.groupBy("w").agg(F.collect_set(name).alias("poss"))
     w = w.withColumn("word_ord", F.conv(F.substring(F.md5(F.col("w").cast("binary")), 1, 12), 16, 10).cast("long"))
-    return w.withColumn("variants", F.array(inflect.regular(F.col("w"), F.lit("NNS"))))
+    return w.select("w", "word_ord", inflect.variants(F.col("w"), F.col("poss")).alias("variants"))
 
 
 def lemma_map(spark, sf):
-    return inflect.lemma_lists(_plural(spark, sf)).select("variant", F.array_join("lemmas", ",").alias("lemmas"))
+    return inflect.lemma_lists(_forms(spark, sf)).select("variant", F.array_join("lemmas", ",").alias("lemmas"))
 
 
 def lemma_first(spark, sf):
-    return inflect.first_lemma(_plural(spark, sf))
+    return inflect.first_lemma(_forms(spark, sf))
 
 
 def roots(spark, sf):
-    return inflect.with_roots(_plural(spark, sf)).where("roots IS NOT NULL").select("w", F.array_join("roots", ",").alias("roots"))
+    return inflect.with_roots(_forms(spark, sf)).where("roots IS NOT NULL").select("w", F.array_join("roots", ",").alias("roots"))
 
 
 def prefix_buckets(spark, sf):
@@ -163,7 +172,7 @@ def prefix_buckets(spark, sf):
 
 
 def index_keys(spark, sf):
-    return P.index_keys(_plural(spark, sf))
+    return P.index_keys(_forms(spark, sf))
 
 
 def url_quotes(spark, sf):
@@ -197,12 +206,33 @@ def html_headwords(spark, sf):
 
 
 def discover_fixpoint(spark, sf):
-    """From the first region on: each nation leads to the nation whose key is twice its own plus one."""
-    n = table(spark, sf, "nation").select("n_nationkey", F.col("n_nationkey").cast("string").alias("en"))
-    size = table(spark, sf, "nation").count()
-    step = lambda fresh: fresh.select(((F.col("en").cast("int") * 2 + 1) % size).cast("string").alias("en"))
-    start = n.where("n_nationkey = 0").select("en")
-    return fixpoint(start, step)
+    """From the first brand's result page on: its headwords, their translations on all pages, the pages of these, and so on."""
+    pages = _result_pages(spark, sf)
+    return discover(pages, pages.agg(F.min("page_id").alias("en")))
+
+
+def _entries(spark, sf) -> DataFrame:
+    """Headwords of the view with body, order and plural."""
+    w = words(spark, sf).withColumnRenamed("en", "w")
+    return w.withColumn("variants", F.array(inflect.regular(F.col("w"), F.lit("NNS"))))
+
+
+def bucket_entries(spark, sf):
+    return P.buckets(_entries(spark, sf)).select("prefix", F.col("entries").cast("long").alias("entries"), F.md5(F.col("html").cast("binary")).alias("html"))
+
+
+def reader_entries(spark, sf):
+    v = render.bodies(senses_view(spark, sf), style="plain")
+    ids = P.numbered(v, "en")
+    forms = F.array(inflect.regular(F.col("en"), F.lit("NNS")))
+    return ids.select("en", F.col("position").alias("entry_id"), render.reader_entry(F.col("position"), F.col("en"), F.col("body"), forms).alias("entry"))
+
+
+def category_priority(spark, sf):
+    """Part types as categories, every third one marked as common or general use."""
+    p = table(spark, sf, "part")
+    mark = F.when(F.col("p_size") % 3 == 0, "Yaygın Kullanım").when(F.col("p_size") % 3 == 1, "Genel").otherwise(F.col("p_type"))
+    return p.select("p_partkey", S.priority(mark).cast("int").alias("priority"))
 
 
 def sample_projection(spark, sf):
@@ -220,14 +250,25 @@ def lexicon_stats(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     top_senses, first_senses, seed_tokens, pending_words, new_headwords, merge_senses, nested_senses, pos_lookup, render_defs, idx_offsets, chunk_numbers, case_fallback, last_headwords,
-    lemma_map, lemma_first, roots, prefix_buckets, index_keys, url_quotes, example_lines, html_rows, html_headwords, discover_fixpoint, sample_projection, lexicon_stats,
+    lemma_map, lemma_first, roots, prefix_buckets, index_keys, url_quotes, example_lines, html_rows, html_headwords, discover_fixpoint, sample_projection, lexicon_stats, bucket_entries, reader_entries, category_priority,
 )}
 
 WORDS = "SELECT DISTINCT en FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS en FROM {t}) WHERE en <> ''"
 SEEDS = r"SELECT DISTINCT lower(t) AS seed FROM (SELECT unnest(regexp_split_to_array(text, '[\s,;()]+')) AS t FROM documents) WHERE length(t) BETWEEN 3 AND 18 AND regexp_matches(t, '(?i)^[a-zçğıöşüâîû]+$')"
 NNS = "CASE WHEN regexp_matches(w, '(s|x|z|ch|sh)$') THEN w || 'es' WHEN regexp_matches(w, '[^aeiou]y$') THEN left(w, length(w) - 1) || 'ies' ELSE w || 's' END"
-PLURAL = f"p AS (SELECT en AS w, ('0x' || substr(md5(en), 1, 12))::BIGINT AS word_ord FROM ({WORDS.format(t='documents')})), v AS (SELECT w, word_ord, {NNS} AS variant FROM p)"
-HEADS = "h AS (SELECT doc_id, regexp_split_to_array(text, '[^A-Za-z]+')[1] AS en FROM documents), g AS (SELECT * FROM h WHERE en <> '')"
+#: The rules of regular forms, as SQL by tag.
+_S = "CASE WHEN regexp_matches(w, '(s|x|z|ch|sh)$') THEN w || 'es' WHEN regexp_matches(w, '[^aeiou]y$') THEN left(w, length(w) - 1) || 'ies' ELSE w || 's' END"
+_BASE = "CASE WHEN regexp_matches(w, '^[^aeiou]*[aeiou][bdgmnprt]$') THEN w || right(w, 1) ELSE w END"
+_ADD = "CASE WHEN w LIKE '%e' THEN left(w, length(w) - 1) || '{e}' WHEN regexp_matches(w, '[^aeiou]y$') THEN left(w, length(w) - 1) || 'i{e}' ELSE {b} || '{e}' END"
+_ING = f"CASE WHEN w LIKE '%e' AND NOT regexp_matches(w, '(ee|oe|ye)$') THEN left(w, length(w) - 1) || 'ing' ELSE {_BASE} || 'ing' END"
+REGULAR = f"CASE WHEN tag IN ('NNS', 'VBZ') THEN {_S} WHEN tag IN ('VBD', 'VBN') THEN {_ADD.format(e='ed', b=_BASE)} WHEN tag = 'VBG' THEN {_ING} WHEN tag IN ('JJR', 'RBR') THEN {_ADD.format(e='er', b=_BASE)} ELSE {_ADD.format(e='est', b=_BASE)} END"
+_ODD = ", ".join(f"('{w}', '{t}', '{f}')" for (w, t), f in inflect.IRREGULAR.items())
+PLURAL = f"""t AS (SELECT DISTINCT w, lang FROM (SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w, lang FROM documents) WHERE w <> ''),
+m(lang, tag) AS (VALUES ('en', 'NNS'), ('fr', 'VBD'), ('fr', 'VBG'), ('fr', 'VBZ'), ('fr', 'VBN'), ('de', 'JJR'), ('de', 'JJS')), b(tag) AS (VALUES ('NNS'), ('VBD'), ('VBG'), ('VBZ'), ('VBN')),
+p AS (SELECT w, ('0x' || substr(md5(w), 1, 12))::BIGINT AS word_ord FROM (SELECT DISTINCT w FROM t)),
+u AS (SELECT DISTINCT w, tag FROM t JOIN m USING (lang)), a AS (SELECT * FROM u UNION ALL SELECT p.w, b.tag FROM p, b WHERE p.w NOT IN (SELECT w FROM u)),
+odd(w, tag, form) AS (VALUES {_ODD}), v AS (SELECT DISTINCT w, word_ord, variant FROM (SELECT a.w, p.word_ord, coalesce(odd.form, r.form) AS variant FROM (SELECT w, tag, {REGULAR} AS form FROM a) r JOIN a USING (w, tag) JOIN p USING (w) LEFT JOIN odd USING (w, tag)) WHERE length(variant) > 1 AND variant <> w)"""
+HEADS = "h AS (SELECT doc_id, unnest(regexp_split_to_array(text, '[^A-Za-z]+')) AS en FROM documents), g AS (SELECT DISTINCT * FROM h WHERE en <> '')"
 ORACLES = {
     "top_senses": f"{VIEW}, {FIRST}, r AS (SELECT *, row_number() OVER (PARTITION BY en ORDER BY (ex IS NOT NULL) DESC, pr, sense_ord) AS n FROM f) SELECT en, tr, pos, category, sense_ord, CAST(n AS INTEGER) AS position FROM r WHERE n <= 7",
     "first_senses": f"{VIEW}, {FIRST} SELECT en, tr, pos, category, sense_ord FROM f",
@@ -241,7 +282,7 @@ SELECT en, coalesce(string_agg(DISTINCT name, ',' ORDER BY name), '') AS poss, c
     "render_defs": f"{SQL_BODIES} SELECT en, body FROM bodies",
     "idx_offsets": SQL_BODIES + """, o AS (SELECT en AS w, row_number() OVER (ORDER BY en) - 1 AS position, CAST(coalesce(sum(strlen(body)) OVER (ORDER BY en ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start, strlen(body) AS size FROM bodies)
 SELECT w, position, start, size, lower(hex(encode(w))) || '00' || printf('%08x', start) || printf('%08x', size) AS entry FROM o""",
-    "chunk_numbers": SQL_BODIES + ", i AS (SELECT en AS w, row_number() OVER (ORDER BY en) - 1 AS entry_id, length(en) % 5 <> 0 AS kept FROM bodies) SELECT w, entry_id, (row_number() OVER (ORDER BY w) - 1) // 100 AS chunk FROM i WHERE kept",
+    "chunk_numbers": SQL_BODIES + ", i AS (SELECT en AS w, row_number() OVER (ORDER BY en) - 1 AS entry_id, 1 AS kept FROM bodies WHERE body <> '') SELECT w, entry_id, (row_number() OVER (ORDER BY w) - 1) // 20000 AS chunk FROM i",
     "case_fallback": f"WITH {HEADS}, w AS (SELECT en, CAST(min(doc_id) AS VARCHAR) AS body FROM g GROUP BY en), k AS (SELECT DISTINCT lower(en) AS w FROM w), j AS (SELECT k.w, coalesce(a.body, b.body) AS body FROM k LEFT JOIN w a ON a.en = k.w LEFT JOIN w b ON b.en = upper(left(k.w, 1)) || lower(substr(k.w, 2))) SELECT * FROM j WHERE body IS NOT NULL",
     "last_headwords": f"WITH {HEADS} SELECT lower(en) AS w, CAST(max(doc_id) AS VARCHAR) AS body, min(doc_id) AS word_ord FROM g GROUP BY 1",
     "lemma_map": f"WITH {PLURAL} SELECT variant, string_agg(w, ',' ORDER BY word_ord, w) AS lemmas FROM v GROUP BY variant",
@@ -253,7 +294,18 @@ SELECT w, position, start, size, lower(hex(encode(w))) || '00' || printf('%08x',
     "example_lines": r"SELECT page_id, CAST(len(l) AS BIGINT) AS n_lines, md5(array_to_string(l, chr(10))) AS lines FROM (SELECT page_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(html, '(?is)<a\b[^>]*>.*?</a>', '', 'g'), '(?i)<br\s*/?>'), lambda x: trim(regexp_replace(regexp_replace(x, '<[^>]+>', '', 'g'), '\s+', ' ', 'g'))), lambda x: x <> '') AS l FROM pages)",
     "html_rows": "SELECT p_brand AS page_id, replace(p_name, ' ', '-') AS en, p_brand AS tr, p_type AS category, 'i.' AS pos, 'noun' AS pos_en, CASE WHEN p_size % 2 = 0 THEN 'A ' || p_partkey || '.' END AS example_en, CASE WHEN p_size % 2 = 0 THEN 'B.' END AS example_tr FROM part",
     "html_headwords": r"SELECT DISTINCT p_brand AS page_id, lower(replace(p_name, ' ', '-')) AS en FROM part WHERE regexp_matches(lower(replace(p_name, ' ', '-')), '^[a-z][a-z\-'']*$') AND length(p_name) BETWEEN 2 AND 25",
-    "discover_fixpoint": "WITH RECURSIVE r AS (SELECT 0 AS k UNION SELECT (k * 2 + 1) % (SELECT count(*) FROM nation) FROM r) SELECT DISTINCT CAST(k AS VARCHAR) AS en FROM r",
+    "discover_fixpoint": r"WITH RECURSIVE s AS (SELECT DISTINCT p_brand AS tr, lower(replace(p_name, ' ', '-')) AS en FROM part WHERE regexp_matches(lower(replace(p_name, ' ', '-')), '^[a-z][a-z\-'']*$') AND length(p_name) BETWEEN 2 AND 25), r AS (SELECT min(p_brand) AS en FROM part UNION SELECT b.tr FROM r JOIN s a ON a.tr = r.en JOIN s b ON b.en = a.en) SELECT en FROM r",
+    "category_priority": "SELECT p_partkey, CASE p_size % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END AS priority FROM part",
     "sample_projection": f"SELECT seed FROM ({SEEDS}) ORDER BY md5(seed), seed LIMIT 200",
     "lexicon_stats": f"{VIEW}, g AS (SELECT pos, count(*) AS n_senses, count(ex) AS n_examples, count(DISTINCT en) AS n_headwords FROM senses GROUP BY pos) SELECT *, n_senses / sum(n_senses) OVER () AS share, n_senses / n_headwords AS per_headword FROM g",
 }
+ESC = "replace(replace(replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;')"
+ORACLES["reader_entries"] = SQL_BODIES + f""", x AS (SELECT *, en AS w FROM bodies), i AS (SELECT en, row_number() OVER (ORDER BY en) - 1 AS entry_id, plain, {ESC.format(c='w')} AS e, {ESC.format(c=f'({_S})')} AS v FROM x)
+SELECT en, entry_id, '<idx:entry name="default" scriptable="yes" spell="yes"><idx:short><a id="w' || entry_id || '"></a><idx:orth value="' || e || '"><b>' || e || '</b><idx:infl><idx:iform value="' || v || '"/></idx:infl></idx:orth>' || plain || '</idx:short></idx:entry><hr/>' AS entry FROM i"""
+ORACLES["bucket_entries"] = SQL_BODIES + f""", x AS (SELECT w, body, word_ord, {_S} AS v FROM (SELECT *, en AS w FROM bodies) AS n),
+rt AS (SELECT v, string_agg('<b>' || {ESC.format(c='w')} || '</b>', ', ' ORDER BY word_ord, w) AS roots FROM x GROUP BY v),
+y AS (SELECT x.w, x.v, x.body, x.word_ord, rt.roots, {ESC.format(c='x.w')} AS ew, {ESC.format(c='x.v')} AS ev, trim(left(x.w, 2)) AS a, trim(left(x.v, 2)) AS b FROM x LEFT JOIN rt ON rt.v = x.w),
+z AS (SELECT *, (SELECT {PREFIX} FROM (SELECT a AS p) AS q) AS pw, (SELECT {PREFIX} FROM (SELECT b AS p) AS q) AS pv FROM y),
+e AS (SELECT pw AS prefix, w AS anchor, word_ord, 0 AS kind, '<w><a name="' || ew || '" /><div><b>' || ew || '</b><var><variant name="' || ev || '"/></var><br/>' || coalesce('<p><span style="color:#888">kök: ' || roots || '</span></p>', '') || body || '</div></w>' AS h FROM z
+  UNION ALL SELECT pv, v, word_ord, 1, '<w><a name="' || ev || '" /><div><b>' || ew || ', ' || ev || '</b><var><variant name="' || ev || '"/></var><br/>' || body || '</div></w>' FROM z WHERE pv <> pw)
+SELECT prefix, count(*) AS entries, md5(string_agg(h, '' ORDER BY length(anchor), anchor, word_ord, kind)) AS html FROM e GROUP BY prefix"""

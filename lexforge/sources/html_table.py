@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from html import escape
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql.window import Window
 
 from lexforge.functions.text import example_pair, normal_word, strip_u, without_notes
 
+#: The result table's id (fixed value).
 TABLE = "englishResultsTable"
 ROWS = "table_ord int, row_ord int, cls string, head string, tds array<struct<cls:string,txt:string,a:string,i:string,raw:string>>"
 
@@ -25,7 +27,7 @@ class _Tables(HTMLParser):
 
     def end_row(self):
         self.end_cell()
-        if self.row is not None and self.row["tds"]:
+        if self.row is not None:  # rows of header cells count as well when the next row is looked for
             self.rows.append((self.table, self.row["n"], self.row["cls"], self.head, self.row["tds"]))
         self.row = None
 
@@ -82,7 +84,7 @@ class _Tables(HTMLParser):
                 if c["in"][:1] == [tag] and c[tag] is not None:
                     c[tag].append(data)
             if "a" not in c["in"]:
-                c["raw"].append(data)
+                c["raw"].append(escape(data, quote=False))  # as in the page: only real tags are stripped later
 
 
 def table_rows(html: str | None) -> list[tuple]:
@@ -108,6 +110,7 @@ def raw_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
     return pages.select(key, "html").mapInPandas(run, f"{key} {kind}, {ROWS}")
 
 
+#: Part-of-speech marks (fixed values).
 POS_MAP = {"i.": "noun", "f.": "verb", "s.": "adjective", "zf.": "adverb", "ünl.": "interjection", "edat": "preposition", "bağ.": "conjunction", "zm.": "pronoun"}
 
 
@@ -126,7 +129,7 @@ def forward_rows(rows: DataFrame, key: str = "page_id") -> DataFrame:
     order = Window.partitionBy(key).orderBy("row_ord")
     r = rows.where("table_ord = 0").withColumn("next_cls", F.lead("cls").over(order)).withColumn("next_tds", F.lead("tds").over(order))
     example = F.filter("next_tds", lambda t: F.contains(t["cls"], F.lit("example-sentences")))
-    cell = F.when(F.contains("next_cls", F.lit("example-sentences-row")), F.coalesce(F.try_element_at(example, F.lit(1))["raw"], F.try_element_at("next_tds", F.lit(1))["raw"]))
+    cell = F.when(F.contains("next_cls", F.lit("example-sentences-row")), F.try_element_at(example, F.lit(1))["raw"])
     r = r.withColumn("ex", example_pair(F.coalesce(cell, F.lit(""))))
     skip = F.contains("cls", F.lit("example-sentences-row")) | F.contains("cls", F.lit("mobile-category-row"))
     td = lambda i: F.try_element_at("tds", F.lit(i + 1))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from lexforge.operators.senses import KEY, merge
-from lexforge.sources.lexicon import exists, snapshot
+from lexforge.sources.lexicon import recovered, snapshot
 
 
 def merge_stream(batches: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -14,7 +14,7 @@ def merge_stream(batches: DataFrame, path: str, checkpoint: str) -> StreamingQue
 
     def sink(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        old = spark.read.parquet(path) if exists(spark, path) else batch.limit(0)
+        old = spark.read.parquet(path) if recovered(spark, path) else batch.limit(0)
         snapshot(merge(old, batch), path)
 
     return batches.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -26,7 +26,7 @@ PAGE = """<table id="englishResultsTable"><tr><th class="c0">#</th><th class="c1
 <tr><td>3</td><td>Teknik</td><td><a>lamp post [old]</a></td><td>direk</td></tr></table>"""
 
 
-@pytest.mark.parametrize("name", ["top_senses", "merge_senses", "idx_offsets", "lemma_first", "html_rows", "lexicon_stats"])
+@pytest.mark.parametrize("name", ["top_senses", "merge_senses", "idx_offsets", "lemma_first", "html_rows", "lexicon_stats", "discover_fixpoint", "bucket_entries", "reader_entries"])
 def test_queries_equal_sql(spark, name):
     con = duckdb.connect()
     for f in os.listdir(SF):
@@ -100,13 +100,22 @@ def test_bucket_and_reader_packages(words, spark):
     P.write_buckets(words, out)
     files = P.unpack(out.getvalue())
     assert files["words"].decode().split() == sorted({"run", "ran", "ağ", "go", "running", "runs", "ağs", "went"})
-    assert b"<a name=\"went\"" in gzip.decompress(files["we.html"]) and b"[k\xc3\xb6k: run]" in gzip.decompress(files["ra.html"])
+    assert b"<a name=\"went\" />" in gzip.decompress(files["we.html"]) and "kök: <b>run</b>".encode() in gzip.decompress(files["ra.html"])
+    assert gzip.decompress(files["we.html"]).startswith(b'<?xml version="1.0" encoding="utf-8"?><html>\n<w>') and gzip.decompress(files["we.html"]).endswith(b"</w></html>")
     with pytest.raises(ValueError):
         P.write_reader(words, "t", io.BytesIO())  # a bare & is no XML
     fine = words.withColumn("body", F.replace("body", F.lit("&"), F.lit("&amp;")))
     out = io.BytesIO()
     P.write_reader(fine, "t", out, 3)
-    assert {"content.opf", "content0.html", "content1.html"} == set(P.unpack(out.getvalue()))
+    files = P.unpack(out.getvalue())
+    assert {"content.opf", "content0.html", "content1.html"} == set(files)
+    assert b"<DictionaryInLanguage>en</DictionaryInLanguage>" in files["content.opf"] and b'<a id="w0"></a>' in files["content0.html"]
+
+
+def test_keys_of_words_without_body(spark):
+    rows = [("a", 0, "", ["as"]), ("b", 1, "<p>x</p>", ["bs"])]
+    w = spark.createDataFrame(rows, "w string, word_ord int, body string, variants array<string>")
+    assert sorted(r.key for r in P.index_keys(w).collect()) == ["b", "bs"]
 
 
 def test_files(spark, tmp_path):
@@ -132,3 +141,41 @@ def test_stream_merge(spark, tmp_path):
     stream = spark.readStream.schema(shape).option("maxFilesPerTrigger", 1).parquet(src)
     merge_stream(stream, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert sorted((r.en, r.tr) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", "x"), ("b", "0"), ("b", "1")]
+
+
+def test_examples_follow_the_page(spark):
+    """An example belongs to the row right before it, header rows count as rows, and only marked cells are read."""
+    row = lambda n: f"<tr><td>{n}</td><td>Genel</td><td><a>w{n}</a></td><td><a>t</a></td></tr>"
+    example = lambda cell: f'<tr class="example-sentences-row">{cell}</tr>'
+    mark = '<td class="example-sentences">'
+    page = f'<table id="englishResultsTable">{row(1)}<tr><th>h</th></tr>{example(mark + "a<br>b</td>")}{row(2)}{example("<td>a<br>b</td>")}{row(3)}{example(mark + "one &lt;q&gt; <b>two</b> &amp; x<br/>three</td>")}</table>'
+    rows = H.forward_rows(H.raw_rows(spark.createDataFrame([(1, page)], "page_id long, html string")))
+    assert {(r.en, r.example_en, r.example_tr) for r in rows.collect()} == {("w1", None, None), ("w2", None, None), ("w3", "one &lt;q&gt; two &amp; x", "three")}
+
+
+def test_snapshot_survives_a_break(spark, tmp_path, monkeypatch):
+    path, seen = str(tmp_path / "t"), L._renamed
+    L.snapshot(spark.range(3), path)
+
+    def broken(session, old, new):
+        if old.endswith(".staging"):
+            raise OSError("lost")
+        seen(session, old, new)
+
+    monkeypatch.setattr(L, "_renamed", broken)
+    with pytest.raises(OSError):
+        L.snapshot(spark.range(9), path)
+    monkeypatch.undo()
+    assert not os.path.exists(path) and L.recovered(spark, path) and spark.read.parquet(path).count() == 3
+
+
+def test_journal_is_applied(spark, tmp_path):
+    table, journal = str(tmp_path / "t"), str(tmp_path / "journal")
+    shape = "en string, tr string, pos string, pos_en string, category string, example_en string, example_tr string"
+    senses = spark.createDataFrame([("b", "x", "n", None, "c", None, None), ("a", "y", None, None, "c", None, None), ("b", "x", "n", None, "d", None, None)], shape)
+    for _ in range(2):
+        L.append_journal(senses, journal)
+        L.apply_journal(spark, table, journal)
+        assert not os.path.exists(journal) and os.path.exists(journal + ".applied")
+        assert sorted((r.en, r.tr, r.category) for r in spark.read.parquet(table).collect()) == [("a", "y", "c"), ("b", "x", "c")]
+        os.rename(journal + ".applied", journal + ".before") if not os.path.exists(journal + ".before") else None
