@@ -26,6 +26,7 @@ without a set all stay.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -579,15 +580,32 @@ def unit_links(units: DataFrame, threshold: Threshold, parts: int) -> DataFrame:
     return units.repartition(parts, "unit").sortWithinPartitions("unit").mapInArrow(run, "u long, v long")
 
 
-def once(members: DataFrame, size: str | None = None) -> DataFrame:
-    """members: key, node. One key for each different list of at least two nodes: key, many, first, tokens (the sum of `size`)."""
-    total = F.sum(size) if size else F.lit(0).cast("long")
-    lists = members.groupBy("key").agg(F.count("*").alias("many"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("b"), F.min("node").alias("first"), total.alias("tokens"))
-    return lists.where("many > 1").groupBy("many", "a", "b").agg(F.min("key").alias("key"), F.min("first").alias("first"), F.max("tokens").alias("tokens")).select("key", "many", "first", "tokens")
+def band(size: str, threshold: Threshold) -> Column:
+    """Sets that link have sizes in one band or in neighbouring ones."""
+    return F.floor(F.log(F.col(size).cast("double")) / (math.log(100 / threshold.percent) * (1 + 1e-9))).cast("int")
+
+
+def once(members: DataFrame, threshold: Threshold) -> DataFrame:
+    """members: key, node, label, size. One key for each different list of at least two nodes: key, many, first, tokens (the sum of sizes), bands (least and greatest label by band)."""
+    parts = members.groupBy("key", band("size", threshold).alias("band")).agg(F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("a"), F.bit_xor(F.xxhash64("node", F.lit(7))).alias("b"), F.min("node").alias("first"), F.sum("size").alias("tokens"))
+    bands = F.map_from_entries(F.collect_list(F.struct("band", F.struct("lo", "hi"))))  # a few dozen bands, whatever the list
+    lists = parts.groupBy("key").agg(F.sum("n").alias("many"), F.bit_xor("a").alias("a"), F.bit_xor("b").alias("b"), F.min("first").alias("first"), F.sum("tokens").alias("tokens"), bands.alias("bands"))
+    return lists.where("many > 1").groupBy("many", "a", "b").agg(F.min("key").alias("key"), F.min("first").alias("first"), F.max("tokens").alias("tokens"), F.min_by("bands", "key").alias("bands")).select("key", "many", "first", "tokens", "bands")
+
+
+def matched(members: DataFrame, groups: DataFrame, threshold: Threshold) -> DataFrame:
+    """members with their key's list, without nodes that no other of the list, of another component, has the size to link with."""
+    out = members.join(groups, "key").withColumn("band", band("size", threshold))
+
+    def other(step: int) -> Column:
+        found = F.try_element_at("bands", F.col("band") + step)
+        return F.coalesce((found["lo"] != F.col("label")) | (found["hi"] != F.col("label")), F.lit(False))
+
+    return out.where(other(0) | other(1) | other(-1)).drop("bands", "band")
 
 
 def without_sublists(members: DataFrame) -> DataFrame:
-    """members: key, node, label. Drops keys all of whose nodes hold one and the same other key just before it.
+    """members: key, node, label, size. Drops keys all of whose nodes hold one and the same other key just before it.
 
     Such a key's list is part of that other key's list, so its pairs are compared there. The tokens of a passage that
     several documents share mostly have such lists: each document's prefix ends somewhere else in the passage.
@@ -595,7 +613,7 @@ def without_sublists(members: DataFrame) -> DataFrame:
     before = members.withColumn("before", F.lag("key").over(Window.partitionBy("node").orderBy("key")))
     lists = before.groupBy("key").agg(F.min("before").alias("a"), F.max("before").alias("z"), F.count_if(F.col("before").isNull()).alias("first"))
     kept = lists.where("first > 0 OR a <> z").select("key")
-    return members.join(kept, "key", "left_semi").select("key", "node", "label")
+    return members.join(kept, "key", "left_semi").select("key", "node", "label", "size")
 
 
 def jaccard_classes(docs: DataFrame, n: int = WORDS, threshold: Threshold = Threshold(), unit: int = UNIT) -> DataFrame:
@@ -614,10 +632,10 @@ def _classes(docs: DataFrame, n: int, threshold: Threshold, unit: int) -> DataFr
     nodes, nodes_path = store(nodes.select("node", "least", "sig1", "sig2", "size", "keys"), "ngram-nodes")
 
     # Step 2: nodes with a common least hash.
-    members = nodes.select("node", "size", F.explode("keys").alias("key"))
-    groups, groups_path = store(once(members, "size"), "ngram-groups")
+    members = nodes.select("node", F.col("node").alias("label"), "size", F.explode("keys").alias("key"))
+    groups, groups_path = store(once(members, threshold), "ngram-groups")
     cut = F.ceil(F.greatest(F.col("many") / unit, F.least("many", F.col("tokens") / UNIT_TOKENS)))
-    placed = members.join(groups, "key").select("key", "node", F.pmod(F.xxhash64("node"), cut).alias("part"))
+    placed = matched(members, groups, threshold).select("key", "node", F.pmod(F.xxhash64("node"), cut).alias("part"))
     leaders = groups.where(cut > 1).select("key", F.col("first").alias("node"), F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("part"))
     units = placed.unionByName(leaders).distinct().select(F.xxhash64("key", "part").alias("unit"), "node", F.col("node").alias("label"))
     units, units_path = store(units, "ngram-units")
@@ -626,14 +644,14 @@ def _classes(docs: DataFrame, n: int, threshold: Threshold, unit: int) -> DataFr
     drop(groups_path, units_path)
 
     # Step 3: every prefix token whose sets are not in one component yet.
-    labelled, labelled_path = store(nodes.select("node").join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("label")), "ngram-labels")
+    labelled, labelled_path = store(nodes.select("node", "size").join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("label"), "size"), "ngram-labels")
     tokens = nodes.agg(F.sum("size")).first()[0] or 0
-    members, members_path = prefix_members(sets, labelled, tokens, threshold, parts)
-    members, merged_path = store(without_sublists(members), "ngram-merged")
-    groups, groups_path = store(once(members), "ngram-groups")
+    members, members_path = prefix_members(sets, labelled.drop("size"), tokens, threshold, parts)
+    members, merged_path = store(without_sublists(members.join(small(labelled.select("node", "size")), "node")), "ngram-merged")
+    groups, groups_path = store(once(members, threshold), "ngram-groups")
     blocks = F.ceil(F.col("many") / unit)
     early = F.collect_list("key").over(Window.partitionBy("node").orderBy("key").rowsBetween(-EARLY, -1))
-    placed = members.join(groups, "key").withColumn("early", early).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    placed = matched(members, groups, threshold).withColumn("early", early).withColumn("block", F.pmod(F.xxhash64("node"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     units = placed.select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "block", (F.col("block") == F.col("other")).alias("lone"), "early", "node", "label")
     units, units_path = store(units, "ngram-units")
     wanted, wanted_path = store(units.select("node").distinct(), "ngram-wanted")
