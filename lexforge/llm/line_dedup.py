@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from lexforge.llm.common import WHITE, documents, drop, pieces, small, store, texts
 
 MIN_POINTS = 10
+#: Keys of a shard: some 15 MB as a pandas frame.
+SHARD_KEYS = 1 << 18
 POSTINGS = "doc_id long, t long, n_lines long, sha string, k1 long, k2 long, at array<int>"
 FILTERS = "shard int, filters array<binary>"
 
@@ -166,6 +168,11 @@ def by_key(rows: DataFrame) -> DataFrame:
     return rows.groupBy("k1", "k2").agg(F.count("*").alias("refs"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
 
 
+def shards_for(spark: SparkSession, postings: int) -> int:
+    """Shards that keep a shard's keys, which meet in one task, at some SHARD_KEYS however many postings there are."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-postings // SHARD_KEYS))
+
+
 @dataclass
 class LineIndex:
     """The index: exact table, filters and postings, each a stored table. A method that changes it stores new versions."""
@@ -177,7 +184,7 @@ class LineIndex:
     held: DataFrame | None = None
 
     def __post_init__(self):
-        self.shards = self.shards or max(8, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        self.shards = self.shards or shards_for(self.spark, 0)
         self.refs = self.refs if self.refs is not None else self.spark.createDataFrame([], "k1 long, k2 long, refs long, least long, most long")
         self.filters = self.filters if self.filters is not None else self.spark.createDataFrame([], FILTERS)
         self.held = self.held if self.held is not None else self.spark.createDataFrame([], "doc_id long, k1 long, k2 long")
@@ -248,7 +255,7 @@ def decided(docs: DataFrame, batches: int = 2) -> tuple[DataFrame, DataFrame]:
     """Insert all of docs in batches; (rows: doc_id, t, n_lines, sha), (drops: doc_id, t, at - the lines that go)."""
     spark = docs.sparkSession
     found, _ = store(postings(docs), "line-postings")
-    index = LineIndex(spark)
+    index = LineIndex(spark, shards_for(spark, found.where("k1 IS NOT NULL").count()))
     for i in range(batches):
         index = index.insert(found.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i))
     gone = found.where("k1 IS NOT NULL").join(index.repeats(), ["k1", "k2"]).where("doc_id <> least")

@@ -7,9 +7,9 @@ from probabilities as wrong as they will be on new rows. The default chain is qu
 `labels` holds); any list of 0/1 label columns may be given.
 
 Models are fitted on a bounded sample of labelled rows (`max_train_rows` and `max_train_words`, lowest hashes of doc_id
-first) and at most `n_features` features a category; the executors send the sample's distinct words, not its texts. Every row
-of the corpus is scored, over its whole text, a batch at a time: its words are looked up once for each different word, and
-the weights of the features found are summed.
+first) and at most `n_features` features a category; one task fits them on the sample's distinct words, and only the model
+comes to the driver. Every row of the corpus is scored, over its whole text, a batch at a time: its words are looked up
+once for each different word, and the weights of the features found are summed.
 
 Defined results: a null or empty text has no words, so it gets the models' base rates; with no labelled rows at all (or
 one class only) a category's probability is its smoothed base rate (0 without rows); repeated rows and ties are scored
@@ -19,6 +19,7 @@ filter_toxic(); an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -227,17 +228,22 @@ def fit(docs: DataFrame, labels: DataFrame, chain: tuple[str, ...] = CHAIN, max_
     rows = rows.orderBy("h", "t").limit(max_train_rows)  # docs may repeat ids
     rows, rows_path = store(rows, "toxicity-rows")
     upto = F.sum("n").over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))  # a window over the bounded sample
-    got = rows.withColumn("upto", upto).where(F.col("upto") <= max_train_words).select("words", *names).toArrow().combine_chunks()
+    sample = rows.withColumn("upto", upto).where(F.col("upto") <= max_train_words).select("words", *names)
+
+    def train(batches):  # in the window's one task: the bounded sample never comes to the driver
+        got = pa.Table.from_batches(batches, pa.schema([("words", pa.list_(pa.string())), *((c, pa.float64()) for c in names)])).combine_chunks()
+        model = fit_rows(_joined(got["words"]), {c: got[f"__lf_{c}"].to_numpy() for c in chain}, chain, n_features)
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    found = sample.mapInArrow(train, "model binary").first()
     drop(path, rows_path)
-    y = {c: got[f"__lf_{c}"].to_numpy() for c in chain}
-    words = got["words"].combine_chunks() if isinstance(got["words"], pa.ChunkedArray) else got["words"]
-    if isinstance(words, pa.ChunkedArray):
-        words = words.chunk(0) if words.num_chunks else pa.array([], pa.list_(pa.string()))
-    del got
-    model = fit_rows(words, y, chain, n_features)
-    del words
-    pa.default_memory_pool().release_unused()
-    return model
+    if found is not None:
+        return pickle.loads(bytes(found.model))
+    return fit_rows(pa.array([], pa.list_(pa.string())), {c: np.zeros(0) for c in chain}, chain, n_features)
+
+
+def _joined(column: pa.ChunkedArray) -> pa.ListArray:
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
 
 
 def with_probabilities(spark: SparkSession, model: Chain) -> "Column":

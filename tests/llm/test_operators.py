@@ -144,6 +144,13 @@ def test_line_dedup(docs, none, spark):
     assert line_dedup.deduplicated(none).count() == 0
 
 
+def test_line_shards_grow_with_the_postings(docs, spark, monkeypatch):
+    """More shards than shuffle partitions give the same rows."""
+    want = sorted(map(tuple, line_dedup.deduplicated(docs).collect()))
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 16)
+    assert line_dedup.shards_for(spark, 1000) == 63 and sorted(map(tuple, line_dedup.deduplicated(docs).collect())) == want
+
+
 def test_line_index_is_reversible(docs, spark):
     p = line_dedup.postings(docs.dropDuplicates(["doc_id"])).where("k1 IS NOT NULL").cache()
     rows = lambda i: sorted(map(tuple, i.refs.select("k1", "k2", "refs", "least", "most").collect()))
@@ -324,6 +331,40 @@ def test_url_filter_with_a_hot_url(spark):
     assert domain.count() == 301
 
 
+def labelled_urls(n, seed):
+    """Urls whose label shows in their form only: blocked ones have long paths with digits and several parameters."""
+    rng = random.Random(seed)
+    pick = lambda chars, a, b: "".join(rng.choice(chars) for _ in range(rng.randint(a, b)))
+    out = []
+    for i in range(n):
+        blocked = rng.random() < 0.4
+        path = "/".join(pick("0123456789abcdef", 8, 14) if blocked else pick("aeioulmnrst", 3, 8) for _ in range(rng.randint(1, 4)))
+        query = "?" + "&".join(f"{pick('abc', 1, 2)}={pick('0123456789', 2, 6)}" for _ in range(rng.randint(1, 4))) if rng.random() < (0.8 if blocked else 0.2) else ""
+        out.append((i, f"http://{pick('bcdfgaeiou', 4, 9)}.{rng.choice(['com', 'org', 'net'])}/{path}{query}", int(blocked)))
+    return out
+
+
+def test_url_trees_on_held_out_urls(spark):
+    """Trees from labelled urls judge other urls of other hosts; shares out of fold leave out the row's own label."""
+    rows = url_filter.lexical(spark.createDataFrame(labelled_urls(3000, 5), "page_id long, url string, blocked int"))
+    model, label, domain, _ = url_filter.train(rows, 2000, 8, 3)
+    other = url_filter.lexical(spark.createDataFrame(labelled_urls(1500, 6), "page_id long, url string, truth int"))
+    got = url_filter.predicted(other, model, label, domain).select("truth", "prediction").collect()
+    assert np.mean([r.truth == r.prediction for r in got]) > 0.93
+    alone = url_filter.with_statistics(rows, label, domain, out_of_fold=True)
+    assert alone.join(rows.groupBy("domain").count().where("count = 1"), "domain").where("f_domain <> f_label").isEmpty()
+
+
+def test_url_filter_edges(spark):
+    """An empty table, repeated rows, a very long url, clashing columns."""
+    shape = "page_id long, url string, host string, blocked int, label string"
+    assert url_filter.judged(spark.createDataFrame([], shape)).count() == 0
+    long = "http://a.org/fr/" + "x1/" * 40000
+    rows = [(1, "http://b.net/p", "h", 1, "l"), (1, "http://b.net/p", "h", 1, "l"), (2, long, "h", 0, "l"), (3, long.replace("/fr/", "/de/"), None, None, None)]
+    got = sorted((r.page_id, r.host, len(r.path), r.rule, r.verdict) for r in url_filter.judged(spark.createDataFrame(rows, shape)).collect() if r.rule)
+    assert got == [(1, "b.net", 2, "net/", "block"), (1, "b.net", 2, "net/", "block"), (2, "a.org", len(long) - 12, "org/fr/", "allow")]
+
+
 def test_chat(spark):
     call = '<tool_call>{"name": "search", "id": "c1", "arguments": {"query": "q", "limit": 2}}</tool_call>'
     bad = '<tool_call>{"name": "search", "id": "c2", "arguments": {"limit": "two"}}</tool_call><tool_call>{oops</tool_call>'
