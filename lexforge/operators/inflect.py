@@ -59,6 +59,7 @@ def first_lemma(words: DataFrame) -> DataFrame:
     return v.groupBy("variant").agg(F.min_by("w", "word_ord").alias("w")).join(words.select(F.col("w").alias("variant")), "variant", "left_anti")
 
 
-def with_roots(words: DataFrame) -> DataFrame:
-    """Headwords that are forms of others get those as roots."""
-    return words.join(lemma_lists(words).select(F.col("variant").alias("w"), F.col("lemmas").alias("roots")), "w", "left")
+def with_roots(words: DataFrame, forms: DataFrame | None = None) -> DataFrame:
+    """Headwords that are forms of others get those as roots. forms: w, word_ord, variants of the same words, where that is cheaper to make."""
+    forms = words if forms is None else forms
+    return words.join(lemma_lists(forms).select(F.col("variant").alias("w"), F.col("lemmas").alias("roots")), "w", "left")

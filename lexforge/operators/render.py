@@ -19,12 +19,14 @@ OPEN, CLOSE, ARROW = "&#8220;", "&#8221;", "&#8594; "
 
 def shown(senses: DataFrame) -> DataFrame:
     """Senses to render: blank translations and repeats of (part of speech, category, translation) go; `label` marks the first of a category."""
-    s = senses.withColumn("tr", strip_u(or_empty(F.col("tr")))).where("tr <> ''")
+    s = senses.repartition("en").withColumn("tr", strip_u(or_empty(F.col("tr")))).where("tr <> ''")
     s = s.withColumn("p", strip_u(F.coalesce(F.nullif("pos_en", F.lit("")), F.nullif("pos", F.lit("")), F.lit("")))).withColumn("cat", strip_u(or_empty(F.col("category"))))
-    first = Window.partitionBy("en", "p", F.lower("cat"), F.lower("tr")).orderBy("sense_ord")
+    s = s.withColumn("_c", F.lower("cat")).withColumn("_t", F.lower("tr"))
+    # One sort serves both windows: the category is the first part of the other's key after the headword.
+    first = Window.partitionBy("en", "_c", "p", "_t").orderBy("sense_ord")
     s = s.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
-    lead = F.row_number().over(Window.partitionBy("en", F.lower("cat")).orderBy("sense_ord"))
-    return s.withColumn("label", (lead == 1) & ~F.lower("cat").isin(*NOISE))
+    own = F.struct("sense_ord", "p", "_t")
+    return s.withColumn("label", (own == F.min(own).over(Window.partitionBy("en", "_c"))) & ~F.col("_c").isin(*NOISE)).drop("_c", "_t")
 
 
 def paragraph(style: str = "rich", examples: bool = True) -> Column:
@@ -43,10 +45,15 @@ def paragraph(style: str = "rich", examples: bool = True) -> Column:
 
 
 def bodies(senses: DataFrame, style: str = "rich", examples: bool = True) -> DataFrame:
-    """en, body: the paragraphs of a headword in sense order."""
+    """en, body: the paragraphs of a headword in sense order; word_ord: its first sense rendered."""
     p = shown(senses).withColumn("html", paragraph(style, examples))
     s = F.array_sort(F.collect_list(F.struct("sense_ord", "html")))
-    return p.groupBy("en").agg(F.array_join(F.transform(s, lambda x: x["html"]), "").alias("body"))
+    return p.groupBy("en").agg(F.array_join(F.transform(s, lambda x: x["html"]), "").alias("body"), F.min("sense_ord").alias("word_ord"))
+
+
+def places(senses: DataFrame) -> DataFrame:
+    """en, word_ord of bodies() without rendering: a sense that is not blank is shown or repeats an earlier one."""
+    return senses.where(strip_u(or_empty(F.col("tr"))) != "").groupBy("en").agg(F.min("sense_ord").alias("word_ord"))
 
 
 def bucket_entry(anchor: Column, main: Column, forms: Column, defs: Column, roots: Column | None = None) -> Column:

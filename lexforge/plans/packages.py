@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
 import zipfile
+from collections.abc import Iterator
 from datetime import date
 from html import escape
 from xml.dom import minidom
 from xml.parsers.expat import ExpatError
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
@@ -85,14 +88,43 @@ def write_star(words: DataFrame, name: str, target) -> None:
                         f.write(bytes(row[0]))
 
 
-def buckets(words: DataFrame) -> DataFrame:
-    """words: w, word_ord, body, variants. prefix, html: entries by length and word; a form whose prefix differs gets a copy."""
-    r = with_roots(words).withColumn("prefix", word_prefix(F.col("w")))
-    base = r.select("prefix", F.col("w").alias("anchor"), F.lit(0).alias("kind"), "word_ord", bucket_entry(F.col("w"), F.col("w"), F.col("variants"), F.col("body"), F.col("roots")).alias("html"))
-    copy = r.select("*", F.explode("variants").alias("v")).where(word_prefix(F.col("v")) != F.col("prefix"))
-    copy = copy.select(word_prefix(F.col("v")).alias("prefix"), F.col("v").alias("anchor"), F.lit(1).alias("kind"), "word_ord", bucket_entry(F.col("v"), F.col("w"), F.col("variants"), F.col("body")).alias("html"))
-    s = F.array_sort(F.collect_list(F.struct(F.length("anchor").alias("n"), "anchor", "word_ord", "kind", "html")))
-    return base.unionByName(copy).where("html <> ''").groupBy("prefix").agg(F.count("*").alias("entries"), F.array_join(F.transform(s, lambda x: x["html"]), "").alias("html"))
+def bucket_rows(words: DataFrame, forms: DataFrame | None = None) -> DataFrame:
+    """words: w, word_ord, body, variants; forms as in with_roots(). prefix, n, anchor, word_ord, kind, html: the entries of all buckets; a form whose prefix differs gets a copy."""
+    r = with_roots(words.where("body <> ''"), words.drop("body") if forms is None else forms).withColumn("_p", word_prefix(F.col("w")))
+
+    def entry(anchor: Column, kind: int, roots: Column | None = None) -> Column:
+        html = bucket_entry(anchor, F.col("w"), F.col("variants"), F.col("body"), roots)
+        return F.struct(word_prefix(anchor).alias("prefix"), F.length(anchor).alias("n"), anchor.alias("anchor"), "word_ord", F.lit(kind).alias("kind"), html.alias("html"))
+
+    copies = F.transform(F.filter("variants", lambda v: word_prefix(v) != F.col("_p")), lambda v: entry(v, 1))
+    return r.select(F.explode(F.concat(F.array(entry(F.col("w"), 0, F.col("roots"))), copies)).alias("e")).select("e.*")
+
+
+def buckets(words: DataFrame, forms: DataFrame | None = None) -> DataFrame:
+    """prefix, entries, html: the entries of a bucket by length and word, as one text."""
+    s = F.array_sort(F.collect_list(F.struct("n", "anchor", "word_ord", "kind", "html")))
+    return bucket_rows(words, forms).groupBy("prefix").agg(F.count("*").alias("entries"), F.array_join(F.transform(s, lambda x: x["html"]), "").alias("html"))
+
+
+def bucket_digests(words: DataFrame, forms: DataFrame | None = None) -> DataFrame:
+    """prefix, entries, html: the MD5 of a bucket's text in hex. Sorted entries pass by; no bucket is held as a whole."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        prefix, n, digest = None, 0, hashlib.md5()
+        done = lambda: pa.RecordBatch.from_arrays([pa.array([prefix]), pa.array([n]), pa.array([digest.hexdigest()])], ["prefix", "entries", "html"])
+        for batch in batches:
+            for p, html in zip(*batch.columns):
+                if (p := p.as_py()) != prefix:
+                    if n:
+                        yield done()
+                    prefix, n, digest = p, 0, hashlib.md5()
+                n += 1
+                digest.update(html.as_buffer())
+        if n:
+            yield done()
+
+    rows = bucket_rows(words, forms).repartition("prefix").sortWithinPartitions("prefix", "n", "anchor", "word_ord", "kind", "html")
+    return rows.select("prefix", F.encode("html", "utf-8").alias("html")).mapInArrow(run, "prefix string, entries long, html string")
 
 
 def index_keys(words: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Lexicon operators against DuckDB, plain Python and their own round trips."""
 
 import gzip
+import hashlib
 import io
 import json
 import os
@@ -179,3 +180,21 @@ def test_journal_is_applied(spark, tmp_path):
         assert not os.path.exists(journal) and os.path.exists(journal + ".applied")
         assert sorted((r.en, r.tr, r.category) for r in spark.read.parquet(table).collect()) == [("a", "y", "c"), ("b", "x", "c")]
         os.rename(journal + ".applied", journal + ".before") if not os.path.exists(journal + ".before") else None
+
+
+def test_bucket_entries_in_one_pass(spark, tmp_path):
+    """Documents are read for the bodies and for the roots only; a blank translation gives a headword no place among the roots."""
+    texts = ["fly,\nflie x\nfly y\nflies z", "the a,b\nthe a\n\nfly <q> & one two three four five six seven eight nine ten eleven"]
+    docs = spark.createDataFrame([(i, t, "en", f"src{i}", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    got = QUERIES["bucket_entries"](spark, str(tmp_path))
+    want = con.execute(f"SELECT prefix, entries, html FROM ({ORACLES['bucket_entries']})").fetchall()
+    assert sorted((r.prefix, r.entries, r.html) for r in got.collect()) == sorted(want)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+def test_bucket_digests_equal_texts(words):
+    want = {(r.prefix, r.entries, hashlib.md5(r.html.encode()).hexdigest()) for r in P.buckets(words).collect()}
+    assert {tuple(r) for r in P.bucket_digests(words).collect()} == want and len(want) == 5
