@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -36,7 +37,7 @@ class _Tables(HTMLParser):
             c = self.cell
             text = lambda k: "".join(c[k]) if c[k] is not None else None
             if c["tag"] == "td":
-                self.row["tds"].append({k: text(k) if k != "cls" else c[k] for k in ("cls", "txt", "a", "i", "raw")})
+                self.row["tds"].append({k: text(k) if k != "cls" else c[k] for k in CELL})
             elif "c2" in c["cls"]:
                 self.head = text("txt").strip()
         self.cell = None
@@ -87,27 +88,91 @@ class _Tables(HTMLParser):
                 c["raw"].append(escape(data, quote=False))  # as in the page: only real tags are stripped later
 
 
-def table_rows(html: str | None) -> list[tuple]:
-    parser = _Tables()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except (AssertionError, ValueError):
-        return []
-    parser.end_row()
-    return parser.rows
+#: Characters of a piece of a page (a batch of 10,000 pieces stays near 10 MB), characters given to the parser at once, rows in a batch that comes back.
+PIECE, FEED, BATCH = 1 << 10, 1 << 16, 1 << 11
+CELL = ("cls", "txt", "a", "i", "raw")
+
+
+class _Page:
+    """The rows of one page that comes in pieces. Full batches wait in a file until the page has ended: one that can't be parsed has no rows."""
+
+    def __init__(self, key, kind: pa.DataType):
+        self.key, self.kind, self.parser = key, kind, _Tables()
+        self.pieces, self.size, self.broken = [], 0, False
+        self.file = self.writer = None
+
+    def feed(self, piece: str) -> None:
+        self.pieces.append(piece)
+        self.size += len(piece)
+        # What the parser could not end yet is read again each time; so it gets at least as much anew.
+        if "<" in piece and self.size >= max(FEED, len(self.parser.rawdata)) and not self.broken:
+            text = "".join(self.pieces)
+            at = text.rindex("<")  # text and its character references stay whole
+            self.pieces, self.size = [text[at:]], len(text) - at
+            self._parse(text[:at])
+
+    def _parse(self, text: str, last: bool = False) -> None:
+        try:
+            self.parser.feed(text)
+            if last:
+                self.parser.close()
+        except (AssertionError, ValueError):
+            self.broken = True
+            return
+        if last:
+            self.parser.end_row()
+        while len(self.parser.rows) >= BATCH:
+            full, self.parser.rows = self.parser.rows[:BATCH], self.parser.rows[BATCH:]
+            batch = self._batch(full)
+            if self.writer is None:
+                self.file = tempfile.TemporaryFile()
+                self.writer = pa.ipc.new_stream(self.file, batch.schema)
+            self.writer.write_batch(batch)
+
+    def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        tables, places, classes, heads, tds = zip(*rows)
+        ends = [0]
+        for t in tds:
+            ends.append(ends[-1] + len(t))
+        cells = pa.StructArray.from_arrays([pa.array([c[k] for t in tds for c in t], pa.string()) for k in CELL], CELL)
+        columns = [pa.array([self.key] * len(rows), self.kind), pa.array(tables, pa.int32()), pa.array(places, pa.int32()), pa.array(classes, pa.string()), pa.array(heads, pa.string())]
+        return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), cells)], ["key", "table_ord", "row_ord", "cls", "head", "tds"])
+
+    def end(self) -> Iterator[pa.RecordBatch]:
+        if not self.broken:
+            self._parse("".join(self.pieces), last=True)
+        if self.writer is not None:
+            self.writer.close()
+            if not self.broken:
+                self.file.seek(0)
+                yield from pa.ipc.open_stream(self.file)
+            self.file.close()
+        if self.parser.rows and not self.broken:
+            yield self._batch(self.parser.rows)
 
 
 def raw_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """One row per table row of each page (Arrow batches); header cells give `head`, the title of the class c2 column."""
-    kind = pages.schema[key].dataType.simpleString()
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = [(k, *r) for k, h in zip(frame[key], frame["html"]) for r in table_rows(h)]
-            yield pd.DataFrame(rows, columns=[key, "table_ord", "row_ord", "cls", "head", "tds"])
+    """One row per table row of each page (Arrow batches); header cells give `head`, the title of the class c2 column.
 
-    return pages.select(key, "html").mapInPandas(run, f"{key} {kind}, {ROWS}")
+    Pages go to Python in pieces and come back in batches of rows, so Python's memory follows neither a page's size nor their number.
+    """
+    kind = pages.schema[key].dataType.simpleString()
+    pieces = F.regexp_extract_all("html", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    cut = pages.where("html <> ''").select(key, F.posexplode(pieces).alias("n", "piece"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        page, names = None, [key, "table_ord", "row_ord", "cls", "head", "tds"]
+        for batch in batches:
+            for k, n, piece in zip(*(c.to_pylist() for c in batch.columns)):
+                if n == 0:
+                    if page:
+                        yield from (b.rename_columns(names) for b in page.end())
+                    page = _Page(k, batch.schema.types[0])
+                page.feed(piece)
+        if page:
+            yield from (b.rename_columns(names) for b in page.end())
+
+    return cut.mapInArrow(run, f"{key} {kind}, {ROWS}")
 
 
 #: Part-of-speech marks (fixed values).

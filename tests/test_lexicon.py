@@ -6,8 +6,10 @@ import io
 import json
 import os
 import struct
+import tracemalloc
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -198,3 +200,37 @@ def test_bucket_entries_in_one_pass(spark, tmp_path):
 def test_bucket_digests_equal_texts(words):
     want = {(r.prefix, r.entries, hashlib.md5(r.html.encode()).hexdigest()) for r in P.buckets(words).collect()}
     assert {tuple(r) for r in P.bucket_digests(words).collect()} == want and len(want) == 5
+
+
+def test_pages_in_pieces(monkeypatch):
+    """Wherever a page is cut, its rows are the same; one that can't be parsed has none, however late that shows."""
+    page = PAGE.replace("lamba", "l&amp;m&#98;a").replace("</table>", "<tr><td>x<!-- <td> --></td></tr></table>") + '<script>"<td>"</script>'
+
+    def rows(text, size):
+        p = H._Page(7, pa.int64())
+        for at in range(0, len(text), size):
+            p.feed(text[at : at + size])
+        return [r for b in p.end() for r in b.to_pylist()]
+
+    whole = rows(page, len(page))
+    assert len(whole) == 8 and whole[1]["tds"][3]["a"] == "l&mba"
+    monkeypatch.setattr(H, "FEED", 1)
+    monkeypatch.setattr(H, "BATCH", 2)
+    for size in (1, 2, 3, 5, 8, 13, 100):
+        assert rows(page, size) == whole
+        assert rows(page + "<![odd[", size) == []
+
+
+def test_memory_does_not_follow_a_page():
+    """A page of 30,000 rows takes a few MB of Python."""
+    row = "<tr><td>{}</td><td>Genel</td><td><a>lamp</a> <i>i.</i></td><td><a>lamba</a></td></tr>"
+    page, n = H._Page("x", pa.string()), 0
+    tracemalloc.start()
+    page.feed(f'<table id="{H.TABLE}">')
+    for i in range(30_000):
+        page.feed(row.format(i))
+    for batch in page.end():
+        n += batch.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 30_000 and peak < 10e6
