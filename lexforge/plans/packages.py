@@ -113,18 +113,21 @@ def bucket_digests(words: DataFrame, forms: DataFrame | None = None) -> DataFram
         prefix, n, digest = None, 0, hashlib.md5()
         done = lambda: pa.RecordBatch.from_arrays([pa.array([prefix]), pa.array([n]), pa.array([digest.hexdigest()])], ["prefix", "entries", "html"])
         for batch in batches:
-            for p, html in zip(*batch.columns):
-                if (p := p.as_py()) != prefix:
+            for p, first, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if p != prefix:
                     if n:
                         yield done()
                     prefix, n, digest = p, 0, hashlib.md5()
-                n += 1
+                n += first == 0
                 digest.update(html.as_buffer())
         if n:
             yield done()
 
     rows = bucket_rows(words, forms).repartition("prefix").sortWithinPartitions("prefix", "n", "anchor", "word_ord", "kind", "html")
-    return rows.select("prefix", F.encode("html", "utf-8").alias("html")).mapInArrow(run, "prefix string, entries long, html string")
+    # An Arrow batch has 10,000 rows: long entries come in pieces, so that it stays near 80 MB whatever their size.
+    pieces = F.when(F.octet_length("html") <= 8192, F.array("html")).otherwise(F.regexp_extract_all("html", F.lit("(?s).{1,1024}"), F.lit(0)))
+    cut = rows.select("prefix", F.posexplode(pieces).alias("at", "piece"))
+    return cut.select("prefix", "at", F.encode("piece", "utf-8").alias("piece")).mapInArrow(run, "prefix string, entries long, html string")
 
 
 def index_keys(words: DataFrame) -> DataFrame:
