@@ -40,7 +40,7 @@ def discover(pages: DataFrame, seeds: DataFrame, rounds: int = 100) -> DataFrame
     """pages: page_id (the queried seed), html. en: all seeds reached from the given ones (en).
 
     A round looks up the pages of the seeds found last, takes their headwords, and the translations of these headwords on any
-    page as the next seeds. Pages are parsed once.
+    page as the next seeds. Pages are parsed before the rounds, once for headwords and once for senses.
     """
     rows = html_table.raw_rows(pages)
     headwords = kept(html_table.reverse_headwords(rows))  # page_id, en
