@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import escape
 from html.parser import HTMLParser
 
@@ -20,16 +20,20 @@ ROWS = "table_ord int, row_ord int, cls string, head string, tds array<struct<cl
 
 
 class _Tables(HTMLParser):
-    """Cells of every result table; a missing end tag of a cell or row is supplied."""
+    """Cells of every result table; a missing end tag of a cell or row is supplied. full() takes the rows away once they make a batch."""
 
-    def __init__(self):
+    def __init__(self, full: Callable[[], None]):
         super().__init__(convert_charrefs=True)
+        self.full, self.size = full, 0
         self.rows, self.table, self.depth, self.row, self.cell, self.head = [], -1, 0, None, None, ""
 
     def end_row(self):
         self.end_cell()
         if self.row is not None:  # rows of header cells count as well when the next row is looked for
             self.rows.append((self.table, self.row["n"], self.row["cls"], self.head, self.row["tds"]))
+            self.size += len(self.row["cls"]) + len(self.head) + sum(len(x) for c in self.row["tds"] for x in c.values() if x)
+            if len(self.rows) >= BATCH or self.size >= WIDE:
+                self.full()
         self.row = None
 
     def end_cell(self):
@@ -90,6 +94,8 @@ class _Tables(HTMLParser):
 
 #: Characters of a piece of a page (a batch of 10,000 pieces stays near 10 MB), characters given to the parser at once, rows in a batch that comes back.
 PIECE, FEED, BATCH = 1 << 10, 1 << 16, 1 << 11
+#: Characters that end a batch of fewer rows.
+WIDE = 1 << 20
 CELL = ("cls", "txt", "a", "i", "raw")
 
 
@@ -97,7 +103,7 @@ class _Page:
     """The rows of one page that comes in pieces. Full batches wait in a file until the page has ended: one that can't be parsed has no rows."""
 
     def __init__(self, key, kind: pa.DataType):
-        self.key, self.kind, self.parser = key, kind, _Tables()
+        self.key, self.kind, self.parser = key, kind, _Tables(self._full)
         self.pieces, self.size, self.broken = [], 0, False
         self.file = self.writer = None
 
@@ -121,13 +127,17 @@ class _Page:
             return
         if last:
             self.parser.end_row()
-        while len(self.parser.rows) >= BATCH:
-            full, self.parser.rows = self.parser.rows[:BATCH], self.parser.rows[BATCH:]
-            batch = self._batch(full)
+
+    def _full(self) -> None:
+        try:
+            batch = self._batch(self.parser.rows)
+            self.parser.rows, self.parser.size = [], 0
             if self.writer is None:
                 self.file = tempfile.TemporaryFile()
                 self.writer = pa.ipc.new_stream(self.file, batch.schema)
             self.writer.write_batch(batch)
+        except ValueError as e:  # Arrow's errors are such; the page is not to pass for one that can't be parsed
+            raise RuntimeError("a batch of rows could not be kept") from e
 
     def _batch(self, rows: list[tuple]) -> pa.RecordBatch:
         tables, places, classes, heads, tds = zip(*rows)
@@ -141,6 +151,7 @@ class _Page:
     def end(self) -> Iterator[pa.RecordBatch]:
         if not self.broken:
             self._parse("".join(self.pieces), last=True)
+        self.parser.full = None  # so that the page goes as soon as it has been read
         if self.writer is not None:
             self.writer.close()
             if not self.broken:
@@ -154,7 +165,8 @@ class _Page:
 def raw_rows(pages: DataFrame, key: str = "page_id") -> DataFrame:
     """One row per table row of each page (Arrow batches); header cells give `head`, the title of the class c2 column.
 
-    Pages go to Python in pieces and come back in batches of rows, so Python's memory follows neither a page's size nor their number.
+    Pages go to Python in pieces and come back in batches of rows and characters, so Python's memory follows neither a page's
+    size nor their number; of their parts only a single row, or a text between two tags, is held whole.
     """
     kind = pages.schema[key].dataType.simpleString()
     pieces = F.regexp_extract_all("html", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))

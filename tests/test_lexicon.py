@@ -234,3 +234,35 @@ def test_memory_does_not_follow_a_page():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n == 30_000 and peak < 10e6
+
+
+def test_memory_does_not_follow_the_width_of_rows():
+    """Fewer rows than a batch takes, but long: their cells, and the header that each row repeats, stay within a few MB of Python."""
+    row = "<tr><td>{}</td><td>Genel</td><td><a>{}</a></td><td><a>lamba</a></td></tr>"
+    pa.array(["x"])  # imports pandas
+    for head, word in (("h", "lamp " * 4000), ("h" * 100_000, "lamp")):
+        page, rows = H._Page("x", pa.string()), []
+        tracemalloc.start()
+        page.feed(f'<table id="{H.TABLE}"><tr><th class="c2">{head}</th></tr>')
+        for i in range(1_500):
+            page.feed(row.format(i, word))
+        for batch in page.end():
+            rows += [(n, h == head, tds[2]["a"] == word) for n, h, tds in zip(*(batch[k].to_pylist() for k in ("row_ord", "head", "tds"))) if n]
+            assert batch.nbytes < 10e6
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert rows == [(n, True, True) for n in range(1, 1_501)] and peak < 10e6
+
+
+def test_a_batch_that_cannot_be_kept_fails(monkeypatch):
+    """It is not taken for a page that can't be parsed, whose rows go."""
+
+    def broken(self, rows):
+        raise pa.ArrowInvalid("no room")
+
+    monkeypatch.setattr(H._Page, "_batch", broken)
+    monkeypatch.setattr(H, "BATCH", 2)
+    page = H._Page(1, pa.int64())
+    with pytest.raises(RuntimeError):
+        page.feed(PAGE)
+        list(page.end())
